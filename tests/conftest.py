@@ -1,0 +1,51 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tickloom-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def session_zone(spark):
+    """Set the session time zone for one test."""
+
+    def use(zone):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+    yield use
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def land(root, method, series, files):
+    """Write response files in the landing layout; series is like {'symbol': 'IBM'}."""
+    folder = root / method
+    for name, value in series.items():
+        folder = folder / f"{name}={value}"
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, body in files.items():
+        (folder / name).write_bytes(body.encode())

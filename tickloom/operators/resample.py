@@ -28,32 +28,25 @@ _BUCKET = "_bucket"
 
 def _aggregate(df: DataFrame, period: str, keys, ts: str, measures: list[Column]) -> DataFrame:
     bucketed = df.withColumn(_BUCKET, bucket_start(F.col(ts), period))
-    grouped = bucketed.groupBy(*keys, _BUCKET)
-    if period in INTERVALS or period == "day":
-        return grouped.agg(*measures).withColumnRenamed(_BUCKET, "ts")
-    return grouped.agg(F.max(F.col(ts).cast("date")).alias("ts"), *measures).drop(_BUCKET)
+    # The bucket first: where rows are sorted for grouping, most comparisons end there.
+    grouped = bucketed.groupBy(_BUCKET, *keys)
+    last = F.max(F.col(ts).cast("date"))
+    label = F.col(_BUCKET) if period in INTERVALS or period == "day" else F.col("_last")
+    barred = grouped.agg(last.alias("_last"), *measures)
+    return barred.select(*keys, label.alias("ts"), *barred.columns[len(keys) + 2:])
 
 
-def bars_from_ticks(
-    ticks: DataFrame,
-    period: str,
+def bar_measures(
+    trades: DataFrame,
     *,
-    keys: Sequence[str] = ("symbol",),
-    ts: str = "ts",
-    price: str = "price",
+    ts: str,
+    price: str,
     tie_break: Sequence[str] = (),
     volume: str | None = None,
     adj_close: str | None = None,
     dividend: str | None = None,
-) -> DataFrame:
-    """Bars of ``period`` from one row per trade.
-
-    ``tie_break`` orders trades of equal ``ts``; with it the columns must be a total
-    order within a series, without it ``ts`` must be one. Rows without ``ts`` or
-    ``price`` are no trades.
-    """
-    check_period(period)
-    trades = ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
+) -> list[Column]:
+    """Aggregates of one bar over its trades."""
     order = order_key(trades, (ts, *tie_break))
     measures = [
         first_by(price, order).alias("open"),
@@ -67,6 +60,29 @@ def bars_from_ticks(
         measures.append(F.sum(F.col(volume).cast("bigint")).alias("volume"))
     if dividend:
         measures.append(money_sum(dividend).alias("dividend_amount"))
+    return measures
+
+
+def bars_from_ticks(
+    ticks: DataFrame,
+    period: str,
+    *,
+    keys: Sequence[str] = ("symbol",),
+    ts: str = "ts",
+    price: str = "price",
+    tie_break: Sequence[str] = (),
+    **columns: str | None,
+) -> DataFrame:
+    """Bars of ``period`` from one row per trade.
+
+    ``tie_break`` orders trades of equal ``ts``; with it the columns must be a total
+    order within a series, without it ``ts`` must be one. Rows without ``ts`` or
+    ``price`` are no trades. ``columns`` may name ``volume``, ``adj_close`` and
+    ``dividend``.
+    """
+    check_period(period)
+    trades = ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
+    measures = bar_measures(trades, ts=ts, price=price, tie_break=tie_break, **columns)
     return _aggregate(trades, period, keys, ts, measures)
 
 

@@ -7,7 +7,8 @@ Layout: ``<root>/<METHOD>/symbol=IBM/*`` for equities and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from tickloom.plans.methods import method_of
 
@@ -21,15 +22,10 @@ def _text_schema(names) -> str:
     return ", ".join(f"`{name}` string" for name in ("value", *names))
 
 
-def landed_lines(spark: SparkSession, root: str, method: str) -> DataFrame:
-    """One row per line, with the series keys and the file as ``response_id``.
-
-    Files are split over tasks, so one huge response does not sit in one task.
-    Key columns are partition columns: filters on them prune whole directories.
-    """
+def lines_from(reader: DataFrameReader | DataStreamReader, root: str, method: str) -> DataFrame:
     names = partition_names(method)
     return (
-        spark.read.schema(_text_schema(names))
+        reader.schema(_text_schema(names))
         .text(f"{root}/{method}")
         .select(
             *names,
@@ -39,6 +35,15 @@ def landed_lines(spark: SparkSession, root: str, method: str) -> DataFrame:
     )
 
 
+def landed_lines(spark: SparkSession, root: str, method: str) -> DataFrame:
+    """One row per line, with the series keys and the file as ``response_id``.
+
+    Files are split over tasks, so one huge response does not sit in one task.
+    Key columns are partition columns: filters on them prune whole directories.
+    """
+    return lines_from(spark.read, root, method)
+
+
 def landed_bodies(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its whole text, for bodies that are not CSV."""
     return spark.read.text(path, wholetext=True).select(
