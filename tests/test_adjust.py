@@ -1,0 +1,102 @@
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from tickloom.operators.adjust import adjust_intraday, daily_with_events, with_adj_close, with_factor
+
+DAILY = "symbol string, ts date, open double, high double, low double, close double, volume bigint"
+EVENTS = "symbol string, ts date, dividend_amount double, split_coefficient double"
+
+
+def day(n):
+    return date(2024, 1, 1) + timedelta(days=n)
+
+
+@pytest.fixture(scope="module")
+def series():
+    """Bars on two days out of three, events on any day, several on some."""
+    rng = random.Random(11)
+    bars = [(s, day(n), 1.0, 1.0, 1.0, float(rng.randrange(50, 100)), 5) for s in ("A", "B") for n in range(200) if n % 3]
+    events = [(s, day(rng.randrange(-3, 205)), rng.choice([0.0, 0.5, 1.25]), rng.choice([1.0, 1.0, 2.0, 0.5]))
+              for s in ("A", "B") for _ in range(25)]
+    return bars, events
+
+
+def by_hand(bars, events):
+    """Factor per (symbol, day), straight from the rule."""
+    found = {}
+    for symbol in {b[0] for b in bars}:
+        own = sorted(b for b in bars if b[0] == symbol)
+        paid, split = {b[1]: 0.0 for b in own}, {b[1]: 1.0 for b in own}
+        for _, ts, dividend, ratio in (e for e in events if e[0] == symbol):
+            later = [b[1] for b in own if b[1] >= ts]
+            if later:
+                paid[later[0]] += dividend
+                split[later[0]] *= ratio
+        for i, bar in enumerate(own):
+            factor = 1.0
+            for j in range(i + 1, len(own)):
+                factor *= (1 - paid[own[j][1]] / own[j - 1][5]) / split[own[j][1]]
+            found[symbol, bar[1]] = factor
+    return found
+
+
+def frames(spark, series):
+    return spark.createDataFrame(series[0], DAILY), spark.createDataFrame(series[1], EVENTS)
+
+
+def test_factors_against_brute_force(spark, series):
+    daily, events = frames(spark, series)
+    adjusted = with_adj_close(daily_with_events(daily, events)).collect()
+    expected = by_hand(*series)
+    assert len(adjusted) == len(series[0])
+    for row in adjusted:
+        assert row.adj_close == pytest.approx(row.close * expected[row.symbol, row.ts], rel=1e-12)
+
+
+def test_without_events_nothing_changes(spark, series):
+    daily, events = frames(spark, series)
+    adjusted = with_adj_close(daily_with_events(daily, events.limit(0)))
+    assert adjusted.filter("adj_close <> close or dividend_amount <> 0 or split_coefficient <> 1").count() == 0
+    assert adjusted.count() == daily.count()
+
+
+def test_dividend_and_split_by_example(spark):
+    daily = spark.createDataFrame(
+        [("A", day(0), 1.0, 1.0, 1.0, 100.0, 1, 9.0, 1.0), ("A", day(1), 1.0, 1.0, 1.0, 98.0, 1, 2.0, 1.0),
+         ("A", day(2), 1.0, 1.0, 1.0, 49.0, 1, 0.0, 2.0)],
+        DAILY + ", dividend_amount double, split_coefficient double")
+    found = {r.ts: r.factor for r in with_factor(daily).collect()}
+    assert found == {day(0): pytest.approx(0.98 / 2), day(1): 0.5, day(2): 1.0}
+
+
+def test_zero_close_and_zero_split_change_nothing(spark):
+    daily = spark.createDataFrame(
+        [("A", day(0), 1.0, 1.0, 1.0, 0.0, 1, 0.0, 1.0), ("A", day(1), 1.0, 1.0, 1.0, 5.0, 1, 2.0, 1.0),
+         ("A", day(2), 1.0, 1.0, 1.0, 5.0, 1, None, 0.0)],
+        DAILY + ", dividend_amount double, split_coefficient double")
+    assert [r.factor for r in with_factor(daily).collect()] == [1.0, 1.0, 1.0]
+
+
+def test_intraday(spark, series):
+    daily, events = frames(spark, series)
+    bars = spark.createDataFrame(
+        [(s, datetime(2024, 1, 2 + n, 9 + h), 1.0, 2.0, 3.0, 4.0, 7) for s in ("A", "B") for n in range(20) for h in range(3)],
+        DAILY.replace("ts date", "ts timestamp_ntz"))
+    adjusted = adjust_intraday(bars, daily_with_events(daily, events)).collect()
+    expected = by_hand(*series)
+    assert len(adjusted) == 120
+    for row in adjusted:
+        factor = expected.get((row.symbol, row.ts.date()), 1.0)
+        assert [row.open, row.high, row.low, row.close] == pytest.approx([factor, 2 * factor, 3 * factor, 4 * factor])
+        assert row.volume == 7
+
+
+def test_series_are_sorted_and_shuffled_once(spark, series):
+    daily, events = frames(spark, series)
+    factored = with_factor(daily.withColumns({"dividend_amount": F.lit(0.0), "split_coefficient": F.lit(1.0)}))
+    plan = plan_of(factored)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1

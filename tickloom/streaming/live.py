@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.functions.calendar import check_period, minutes_of
+from tickloom.functions.calendar import (
+    check_period, local_micros, millis_to_local, minutes_of,
+)
 from tickloom.operators.bad_lines import Parsed, parse_lines
 from tickloom.operators.resample import bar_measures
 from tickloom.plans.methods import INTERVALS
@@ -60,11 +62,13 @@ def live_bars(
         raise ValueError("live bars are intraday, daily or weekly")
     trades = ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
     measures = bar_measures(trades, ts=ts, price=price, tie_break=tie_break, volume=volume)
-    start = F.col("window.start")
+    start = millis_to_local(F.unix_millis("window.start"), "UTC")
     label = start if period in INTERVALS else F.col("_last").cast("date")
+    # Watermarks need an instant: the local clock is read as if it were UTC.
     barred = (
-        trades.withWatermark(ts, lateness)
-        .groupBy(_window(ts, period), *keys)
+        trades.withColumn("_at", F.timestamp_micros(local_micros(F.col(ts))))
+        .withWatermark("_at", lateness)
+        .groupBy(_window("_at", period), *keys)
         .agg(F.max(ts).alias("_last"), *measures)
     )
     return barred.select(*keys, label.alias("ts"), *barred.columns[len(keys) + 2:])
