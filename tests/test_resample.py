@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tickloom.functions.aggregates import order_key
 from tickloom.operators.resample import bars_from_bars, bars_from_ticks, with_partial_flag
 from tickloom.plans.methods import INTERVALS
 from tickloom.plans.series import as_bars, as_series
@@ -71,26 +70,23 @@ def test_against_brute_force(frame, ticks, period):
     assert rows(bars) == expected(ticks, period)
 
 
-def test_order_keys_agree(frame, session_zone):
-    session_zone("America/New_York")
-    packed, struct = order_key(frame, ("ts", "id")), F.struct("ts", "id")
-    made = frame.select(packed.alias("k"), "ts", "id", F.col("ts").alias("t"))
-    assert made.schema["k"].dataType.simpleString() == "decimal(38,0)"
-    by_key = [(r.ts, r.id) for r in made.orderBy("k").collect()]
-    assert by_key == sorted(by_key)
-    both = frame.groupBy("symbol").agg(F.min_by("price", packed) == F.min_by("price", struct),
-                                       F.max_by("price", packed) == F.max_by("price", struct))
-    assert all(r[1] and r[2] for r in both.collect())
+def test_extreme_tie_breaks(spark):
+    frame = spark.sql(
+        "select 'A' as symbol, timestamp_ntz'0001-01-01 00:00:00' as ts, id, cast(p as double) as price from "
+        "values (9223372036854775807L, 1), (-9223372036854775808L, 2), (-1L, 3), (0L, 4) as t(id, p)")
+    assert rows(bars_from_ticks(frame, "day", tie_break=ORDER)) == {("A", date(1, 1, 1), 2.0, 4.0, 1.0, 1.0)}
 
 
-def test_order_key_of_extreme_tie_breaks(spark):
-    frame = spark.sql(
-        "select timestamp_ntz'0001-01-01 00:00:00' + make_interval(0,0,0,0,0,0, m/1000000) as ts, id from "
-        "values (0, 9223372036854775807L), (1, -9223372036854775808L), (0, -1L), (1, 0L) as t(m, id)")
-    made = frame.select(order_key(frame, ("ts", "id")).alias("k"), "ts", "id")
-    assert made.filter("k is null").count() == 0
-    by_key = [(r.ts, r.id) for r in made.orderBy("k").collect()]
-    assert by_key == sorted(by_key)
+def test_equal_order_is_settled_by_price(spark):
+    frame = spark.createDataFrame([("A", datetime(2021, 4, 5), 1, float(p), 1) for p in (3, 1, 2)], SCHEMA)
+    assert rows(bars_from_ticks(frame.repartition(3), "day", tie_break=ORDER)) \
+        == {("A", date(2021, 4, 5), 1.0, 3.0, 1.0, 3.0)}
+
+
+def test_unique_times_aggregate_by_hash(frame):
+    for bars in (bars_from_ticks(frame, "5min", volume="volume"),
+                 bars_from_bars(bars_from_ticks(frame, "5min", volume="volume"), "week")):
+        assert "SortAggregate" not in plan_of(bars)
 
 
 @pytest.mark.parametrize("period", INTERVALS)
@@ -166,7 +162,6 @@ def test_series_round_trip(frame, method, period):
 
 
 def test_one_shuffle_and_partial_aggregates(frame):
-    bars = bars_from_ticks(frame, "5min", tie_break=ORDER, volume="volume")
-    plan = plan_of(bars)
+    plan = plan_of(bars_from_ticks(frame, "5min", tie_break=ORDER, volume="volume"))
     assert plan.count("Exchange hashpartitioning") == 1
-    assert "HashAggregate" in plan and "SortAggregate" not in plan and "partial_min_by" in plan
+    assert "partial_min" in plan and "partial_sum" in plan

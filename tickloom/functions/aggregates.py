@@ -4,41 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (
-    ByteType, IntegerType, LongType, ShortType, TimestampNTZType,
-)
+from pyspark.sql import Column, functions as F
 
-from tickloom.functions.calendar import local_micros
+_FIRST, _LAST = "_first", "_last"
 
-_INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
+def ends(order: Sequence[str], first: str, last: Sequence[str]) -> tuple[list[Column], list[Column]]:
+    """Value of ``first`` in the first row and of ``last`` in the last row by ``order``.
 
-def order_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """One value that orders rows by ``columns``, as cheap to aggregate as they allow.
-
-    ``min_by`` and ``max_by`` aggregate by hashing when the ordering is a fixed-width
-    value and by sorting when it is a struct. A single column is used as it is; a
-    local timestamp with one integral tie-break is packed into a decimal
-    (microseconds x 2e19 + tie-break, exact over both full ranges); anything else
-    is a struct.
+    Returns the aggregates and the columns to select from their result. With one
+    order column they are ``min_by`` and ``max_by``, which aggregate by hashing. With
+    more, one minimum and one maximum of (order, values) serve all values; equal
+    orders are settled by the value, so the result never depends on task order.
     """
-    types = [df.schema[name].dataType for name in columns]
-    if len(columns) == 1:
-        return F.col(columns[0])
-    if len(columns) == 2 and isinstance(types[0], TimestampNTZType) and isinstance(types[1], _INTEGRAL):
-        micros = local_micros(F.col(columns[0])).cast("decimal(18,0)")
-        stride = F.lit("20000000000000000000").cast("decimal(20,0)")
-        return (micros * stride + F.col(columns[1]).cast("decimal(19,0)")).cast("decimal(38,0)")
-    return F.struct(*columns)
-
-
-def first_by(value: str, order: Column) -> Column:
-    return F.min_by(value, order)
-
-
-def last_by(value: str, order: Column) -> Column:
-    return F.max_by(value, order)
+    if len(order) == 1:
+        key = order[0]
+        found = [F.min_by(first, key).alias(_FIRST)]
+        found += [F.max_by(name, key).alias(f"{_LAST}{i}") for i, name in enumerate(last)]
+        return found, [F.col(_FIRST), *(F.col(f"{_LAST}{i}") for i in range(len(last)))]
+    ordered = [F.col(name).alias(f"o{i}") for i, name in enumerate(order)]
+    values = [F.col(name).alias(f"v{i}") for i, name in enumerate(last)]
+    found = [
+        F.min(F.struct(*ordered, F.col(first).alias("v0"))).alias(_FIRST),
+        F.max(F.struct(*ordered, *values)).alias(_LAST),
+    ]
+    return found, [F.col(f"{_FIRST}.v0"), *(F.col(f"{_LAST}.v{i}") for i in range(len(last)))]
 
 
 def money_sum(value: str) -> Column:

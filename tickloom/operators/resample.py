@@ -17,50 +17,50 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.aggregates import first_by, last_by, money_sum, order_key
+from tickloom.functions.aggregates import ends, money_sum
 from tickloom.functions.calendar import (
     bucket_start, check_period, local_literal, period_end,
 )
 from tickloom.plans.methods import INTERVALS
 
 _BUCKET = "_bucket"
+_DATE = "_date"
+
+
+def bar_aggregates(
+    *, ts: str, open: str, high: str, low: str, close: str, tie_break: Sequence[str] = (),
+    adj_close: str | None = None, volume: str | None = None, dividend: str | None = None,
+) -> tuple[list[Column], list[Column]]:
+    """Aggregates of one bar, and the bar's columns in terms of them."""
+    last = [close, adj_close] if adj_close else [close]
+    found, (first_value, *last_values) = ends((ts, *tie_break), open, last)
+    found += [F.max(high).alias("high"), F.min(low).alias("low")]
+    shape = [first_value.alias("open"), F.col("high"), F.col("low"), last_values[0].alias("close")]
+    if adj_close:
+        shape.append(last_values[1].alias("adj_close"))
+    if volume:
+        found.append(F.sum(F.col(volume).cast("bigint")).alias("volume"))
+        shape.append(F.col("volume"))
+    if dividend:
+        found.append(money_sum(dividend).alias("dividend_amount"))
+        shape.append(F.col("dividend_amount"))
+    return found, shape
 
 
-def _aggregate(df: DataFrame, period: str, keys, ts: str, measures: list[Column]) -> DataFrame:
+def _bars(df: DataFrame, period: str, keys: Sequence[str], ts: str, **columns) -> DataFrame:
+    found, shape = bar_aggregates(ts=ts, **columns)
     bucketed = df.withColumn(_BUCKET, bucket_start(F.col(ts), period))
     # The bucket first: where rows are sorted for grouping, most comparisons end there.
-    grouped = bucketed.groupBy(_BUCKET, *keys)
-    last = F.max(F.col(ts).cast("date"))
-    label = F.col(_BUCKET) if period in INTERVALS or period == "day" else F.col("_last")
-    barred = grouped.agg(last.alias("_last"), *measures)
-    return barred.select(*keys, label.alias("ts"), *barred.columns[len(keys) + 2:])
+    barred = bucketed.groupBy(_BUCKET, *keys).agg(
+        F.max(F.col(ts).cast("date")).alias(_DATE), *found
+    )
+    label = _BUCKET if period in INTERVALS or period == "day" else _DATE
+    return barred.select(*keys, F.col(label).alias("ts"), *shape)
 
 
-def bar_measures(
-    trades: DataFrame,
-    *,
-    ts: str,
-    price: str,
-    tie_break: Sequence[str] = (),
-    volume: str | None = None,
-    adj_close: str | None = None,
-    dividend: str | None = None,
-) -> list[Column]:
-    """Aggregates of one bar over its trades."""
-    order = order_key(trades, (ts, *tie_break))
-    measures = [
-        first_by(price, order).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        last_by(price, order).alias("close"),
-    ]
-    if adj_close:
-        measures.append(last_by(adj_close, order).alias("adj_close"))
-    if volume:
-        measures.append(F.sum(F.col(volume).cast("bigint")).alias("volume"))
-    if dividend:
-        measures.append(money_sum(dividend).alias("dividend_amount"))
-    return measures
+def trades_of(ticks: DataFrame, ts: str, price: str) -> DataFrame:
+    """Rows without time or price are no trades."""
+    return ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
 
 
 def bars_from_ticks(
@@ -71,19 +71,21 @@ def bars_from_ticks(
     ts: str = "ts",
     price: str = "price",
     tie_break: Sequence[str] = (),
-    **columns: str | None,
+    volume: str | None = None,
+    adj_close: str | None = None,
+    dividend: str | None = None,
 ) -> DataFrame:
     """Bars of ``period`` from one row per trade.
 
-    ``tie_break`` orders trades of equal ``ts``; with it the columns must be a total
-    order within a series, without it ``ts`` must be one. Rows without ``ts`` or
-    ``price`` are no trades. ``columns`` may name ``volume``, ``adj_close`` and
-    ``dividend``.
+    ``tie_break`` orders trades of equal ``ts``; without it ``ts`` is unique within a
+    series.
     """
     check_period(period)
-    trades = ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
-    measures = bar_measures(trades, ts=ts, price=price, tie_break=tie_break, **columns)
-    return _aggregate(trades, period, keys, ts, measures)
+    return _bars(
+        trades_of(ticks, ts, price), period, keys, ts,
+        open=price, high=price, low=price, close=price, tie_break=tie_break,
+        adj_close=adj_close, volume=volume, dividend=dividend,
+    )
 
 
 def bars_from_bars(
@@ -94,18 +96,11 @@ def bars_from_bars(
     The adjusted close is the last of the period and the dividend its sum.
     """
     check_period(period)
-    order = order_key(bars, ("ts",))
-    rolled = {
-        "open": first_by("open", order),
-        "high": F.max("high"),
-        "low": F.min("low"),
-        "close": last_by("close", order),
-        "adj_close": last_by("adj_close", order),
-        "volume": F.sum("volume"),
-        "dividend_amount": money_sum("dividend_amount"),
-    }
-    measures = [value.alias(name) for name, value in rolled.items() if name in bars.columns]
-    return _aggregate(bars, period, keys, "ts", measures)
+    optional = {"adj_close": "adj_close", "volume": "volume", "dividend": "dividend_amount"}
+    given = {name: column for name, column in optional.items() if column in bars.columns}
+    return _bars(
+        bars, period, keys, "ts", open="open", high="high", low="low", close="close", **given
+    )
 
 
 def with_partial_flag(bars: DataFrame, period: str, as_of: date | datetime) -> DataFrame:

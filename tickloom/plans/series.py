@@ -33,9 +33,15 @@ def csv_header(method: str) -> str:
     return ",".join([_TIME_HEADER.get(method, first), *(_HEADER_NAMES.get(n, n) for n in rest)])
 
 
+def csv_columns(method: str) -> list[Column]:
+    """A bar's CSV values under their header names, the time as text."""
+    spec = method_of(method)
+    # Casts to text keep the local clock; formatting would go through the session zone.
+    time = F.col("ts").cast("timestamp_ntz" if spec.intraday else "date").cast("string")
+    columns = [time, *(F.col(name) for name in spec.schema.names[1:])]
+    return [c.alias(name) for c, name in zip(columns, csv_header(method).split(","))]
+
+
 def csv_line(method: str) -> Column:
     """A bar's CSV line, as a response would carry it."""
-    spec = method_of(method)
-    pattern = "yyyy-MM-dd HH:mm:ss" if spec.intraday else "yyyy-MM-dd"
-    values = [F.date_format(F.col("ts").cast("timestamp_ntz"), pattern)]
-    return F.concat_ws(",", *values, *(F.col(n).cast("string") for n in spec.schema.names[1:]))
+    return F.concat_ws(",", *(column.cast("string") for column in csv_columns(method)))

@@ -19,8 +19,8 @@ from tickloom.operators.resample import bars_from_bars, bars_from_ticks, with_pa
 from tickloom.operators.select import in_slice, latest_points, with_slice
 from tickloom.plans.methods import INTERVALS, METHODS, RequestSpec, method_of
 from tickloom.plans.read import read_landing, read_symbols
-from tickloom.plans.series import as_bars, as_series, csv_header, csv_line
-from tickloom.sources.shared import new_path
+from tickloom.plans.series import as_bars, as_series, csv_columns, csv_header, csv_line
+from tickloom.sources.shared import new_path, written_once
 
 ZONE = "UTC"
 NEW_YORK = "America/New_York"
@@ -132,7 +132,11 @@ def method_bars(spark, sf_dir, method: str) -> tuple[DataFrame, tuple[str, ...]]
 
 
 def with_header_lines(lines: DataFrame, header: Column, keys: Sequence[str]) -> DataFrame:
-    """Add one header line to every response."""
+    """Add one header line to every response.
+
+    The lines are written first: they are read for the headers, the verdict and the bars.
+    """
+    lines = written_once(lines, "lines")
     heads = lines.select(*keys, "response_id").distinct().withColumn("line", header)
     return lines.unionByName(heads)
 
@@ -157,7 +161,7 @@ def monthly_response_lines(spark, sf_dir) -> DataFrame:
     """
     daily = lineitem_bars(spark, sf_dir, "day")
     line = csv_line("TIME_SERIES_DAILY")
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.col("ts").cast("string")
     broken = (
         F.when(F.dayofmonth("ts") == 31, F.concat_ws(",", day, "open", F.lit("x"), "low", "close", "volume"))
         .when((F.month("ts") == 2) & (F.dayofmonth("ts") == 29), F.concat_ws(",", day, "open", "high"))
@@ -216,15 +220,8 @@ def landed(spark, sf_dir, method: str) -> str:
     """Land a method's bars as response files in a fresh shared folder; returns its root."""
     bars, keys = method_bars(spark, sf_dir, method)
     root = new_path(spark, "landing")
-    first, *names = csv_header(method).split(",")
-    pattern = "yyyy-MM-dd HH:mm:ss" if method_of(method).intraday else "yyyy-MM-dd"
-    columns = method_of(method).schema.names[1:]
     (
-        bars.select(
-            *keys,
-            F.date_format(F.col("ts").cast("timestamp_ntz"), pattern).alias(first),
-            *(F.col(column).alias(name) for column, name in zip(columns, names)),
-        )
+        bars.select(*keys, *csv_columns(method))
         .write.partitionBy(*keys)
         .option("header", True)
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
@@ -324,7 +321,7 @@ def zone_round_trip(spark, sf_dir) -> DataFrame:
     bars = event_bars(spark, sf_dir, "30min", volume="volume")
     series = as_series(bars, "TIME_SERIES_INTRADAY", zone=NEW_YORK, keys=SYMBOL)
     local = as_bars(series, "TIME_SERIES_INTRADAY", zone=NEW_YORK, keys=SYMBOL)
-    return local.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return local.withColumn("ts", F.col("ts").cast("string"))
 
 
 def build_queries() -> dict[str, Query]:

@@ -15,7 +15,7 @@ from tickloom.functions.calendar import (
     check_period, local_micros, millis_to_local, minutes_of,
 )
 from tickloom.operators.bad_lines import Parsed, parse_lines
-from tickloom.operators.resample import bar_measures
+from tickloom.operators.resample import bar_aggregates, trades_of
 from tickloom.plans.methods import INTERVALS
 from tickloom.sources.landing import lines_from, partition_names
 
@@ -60,15 +60,17 @@ def live_bars(
     """
     if check_period(period) == "month":
         raise ValueError("live bars are intraday, daily or weekly")
-    trades = ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
-    measures = bar_measures(trades, ts=ts, price=price, tie_break=tie_break, volume=volume)
+    found, shape = bar_aggregates(
+        ts=ts, open=price, high=price, low=price, close=price, tie_break=tie_break, volume=volume
+    )
     start = millis_to_local(F.unix_millis("window.start"), "UTC")
-    label = start if period in INTERVALS else F.col("_last").cast("date")
+    label = start if period in INTERVALS else F.col("_date")
     # Watermarks need an instant: the local clock is read as if it were UTC.
     barred = (
-        trades.withColumn("_at", F.timestamp_micros(local_micros(F.col(ts))))
+        trades_of(ticks, ts, price)
+        .withColumn("_at", F.timestamp_micros(local_micros(F.col(ts))))
         .withWatermark("_at", lateness)
         .groupBy(_window("_at", period), *keys)
-        .agg(F.max(ts).alias("_last"), *measures)
+        .agg(F.max(F.col(ts).cast("date")).alias("_date"), *found)
     )
-    return barred.select(*keys, label.alias("ts"), *barred.columns[len(keys) + 2:])
+    return barred.select(*keys, label.alias("ts"), *shape)
