@@ -28,7 +28,7 @@ HEADLINE = (
     "compact_daily", "compact_intraday", "parse_time_series_intraday", "parse_time_series_daily",
     "parse_time_series_daily_adjusted", "parse_time_series_weekly_adjusted", "parse_fx_daily",
     "bad_lines_quarantine", "bad_lines_void", "responses_quarantine", "responses_void",
-    "header_check", "text_body", "json_body", "landing_files", "source_file",
+    "trades_quarantine", "trades_void", "header_check", "text_body", "json_body", "landing_files", "source_file",
 )
 
 

@@ -100,3 +100,10 @@ def test_series_are_sorted_and_shuffled_once(spark, series):
     factored = with_factor(daily.withColumns({"dividend_amount": F.lit(0.0), "split_coefficient": F.lit(1.0)}))
     plan = plan_of(factored)
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_only_daily_bars_have_factors(spark, series):
+    daily, events = frames(spark, series)
+    bars = daily.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    with pytest.raises(ValueError):
+        daily_with_events(bars, events)

@@ -136,3 +136,12 @@ def test_local_micros(spark, session_zone):
     row = spark.sql("select timestamp_ntz'2021-03-14 02:30:00.123456' as ts").select(
         local_micros(F.col("ts"))).head()
     assert row[0] == 1615689000123456
+
+
+def test_repeated_local_time_is_the_first(spark):
+    first = 1636263000000  # 2021-11-07 01:30 in New York, still on summer time
+    row = bars(spark, "2021-11-07 01:30:00,1,2,3,4,5", method="TIME_SERIES_INTRADAY", zone=NEW_YORK)
+    assert row[0][0] == first
+    made = spark.sql("select timestamp_ntz'2021-11-07 01:30:00' as ts").select(
+        local_to_millis(F.col("ts"), NEW_YORK))
+    assert made.head()[0] == first

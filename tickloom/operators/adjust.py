@@ -15,12 +15,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import DateType
 
 from tickloom.functions.aggregates import money_sum
 
 PRICES = ("open", "high", "low", "close")
 
 
+def _check_daily(daily: DataFrame) -> None:
+    if not isinstance(daily.schema["ts"].dataType, DateType):
+        raise ValueError("daily bars have a date as ts")
+
+
 def with_factor(daily: DataFrame, *, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Add ``factor`` to daily bars with ``dividend_amount`` and ``split_coefficient``.
 
@@ -28,6 +34,7 @@ def with_factor(daily: DataFrame, *, keys: Sequence[str] = ("symbol",)) -> DataF
     calendar (about 250 rows a year) whatever its number of trades. Both windows
     run over falling dates: one sort, and a product Spark keeps as a running value.
     """
+    _check_daily(daily)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("ts"))
     later = newest_first.rowsBetween(Window.unboundedPreceding, -1)
     previous = F.lead("close").over(newest_first)
@@ -54,6 +61,7 @@ def daily_with_events(
     Several events of one bar are combined. An event on a day without a bar belongs
     to the next bar of its series; one after the last bar has not taken effect yet.
     """
+    _check_daily(daily)
     same_day = events.groupBy(*keys, F.col("ts").cast("date").alias("ts")).agg(
         money_sum("dividend_amount").alias("dividend_amount"),
         F.product("split_coefficient").alias("split_coefficient"),

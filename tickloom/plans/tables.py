@@ -189,6 +189,26 @@ def parsed_error_bodies(spark, sf_dir) -> Parsed:
     return parse_lines(lines, "TIME_SERIES_DAILY", zone=ZONE, keys=SYMBOL)
 
 
+def parsed_trades(spark, sf_dir, policy: str) -> Parsed:
+    """Every trade as a line of its own, one response per supplier and month.
+
+    Lines of 50 pieces have an unreadable volume.
+    """
+    trades = lineitem_ticks(spark, sf_dir)
+    volume = F.when(F.col("volume") == 50, "x").otherwise(F.col("volume").cast("string"))
+    day = F.col("ts").cast("date")
+    lines = trades.select(
+        "symbol",
+        F.concat_ws("-", "suppkey", F.substring(day.cast("string"), 1, 7)).alias("response_id"),
+        F.concat_ws(",", day, *["price"] * 4, volume).alias("line"),
+    )
+    lines = lines.withColumn("response_id", F.concat_ws("-", "symbol", "response_id"))
+    lines = with_header_lines(lines, F.lit(csv_header("TIME_SERIES_DAILY")), SYMBOL)
+    return parse_lines(
+        lines, "TIME_SERIES_DAILY", zone=NEW_YORK, keys=SYMBOL, on_bad_line=policy
+    )
+
+
 def monthly_responses(spark, sf_dir) -> DataFrame:
     """Whole responses of at most 31 lines; November answers 422 and December 500."""
     lines = monthly_response_lines(spark, sf_dir)
@@ -375,6 +395,9 @@ def build_queries() -> dict[str, Query]:
     found["bad_lines_quarantine"] = lambda s, d: parsed_monthly(s, d, "quarantine").bars
     found["bad_lines_void"] = lambda s, d: parsed_monthly(s, d, "void_response").bars
     found["bad_lines_errors"] = lambda s, d: error_counts(parsed_monthly(s, d, "quarantine").errors)
+    found["trades_quarantine"] = lambda s, d: parsed_trades(s, d, "quarantine").bars
+    found["trades_void"] = lambda s, d: parsed_trades(s, d, "void_response").bars
+    found["trades_errors"] = lambda s, d: error_counts(parsed_trades(s, d, "quarantine").errors)
     found["header_check"] = lambda s, d: parsed_error_bodies(s, d).bars
     found["header_check_errors"] = lambda s, d: error_counts(parsed_error_bodies(s, d).errors)
     found["responses_quarantine"] = lambda s, d: parsed_responses(s, d, "quarantine").bars

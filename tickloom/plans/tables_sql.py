@@ -151,6 +151,15 @@ MARKED = f"""
 KEPT = 'symbol, "timestamp", open, high, low, close, volume'
 LINE_ERRORS = "symbol, response_id, problem AS reason, count(*) AS lines"
 
+TRADES = """
+  WITH trades AS (
+    SELECT l_returnflag AS symbol,
+      l_returnflag || '-' || l_suppkey || '-' || strftime(l_shipdate, '%Y-%m') AS response_id,
+      epoch_ms(timezone('America/New_York', date_trunc('day', l_shipdate))) AS "timestamp",
+      l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS volume
+    FROM lineitem)"""
+TRADE_BARS = 'symbol, "timestamp", price AS open, price AS high, price AS low, price AS close, volume'
+
 REFUSED = "CASE mon WHEN 11 THEN 'status 422 Unprocessable' WHEN 12 THEN 'status 500 Server Error' END"
 PAGE_STATUS = ("CASE WHEN contains(url, '/fr/') THEN 500 WHEN contains(url, '?') THEN 422 ELSE 200 END")
 
@@ -200,6 +209,13 @@ def build_sql() -> dict[str, str]:
         "(SELECT response_id FROM marked WHERE problem IS NOT NULL)")
     sql["bad_lines_errors"] = (
         f"{MARKED} SELECT {LINE_ERRORS} FROM marked WHERE problem IS NOT NULL GROUP BY ALL")
+    sql["trades_quarantine"] = f"{TRADES} SELECT {TRADE_BARS} FROM trades WHERE volume <> 50"
+    sql["trades_void"] = (
+        f"{TRADES} SELECT {TRADE_BARS} FROM trades WHERE response_id NOT IN "
+        "(SELECT response_id FROM trades WHERE volume = 50)")
+    sql["trades_errors"] = (
+        f"{TRADES} SELECT symbol, response_id, 'bad volume' AS reason, count(*) AS lines "
+        "FROM trades WHERE volume = 50 GROUP BY ALL")
     sql["header_check"] = (
         f"{MARKED} SELECT {KEPT} FROM marked WHERE problem IS NULL AND mon <> 2")
     sql["header_check_errors"] = (

@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import replace
+from http.client import HTTPException
 from urllib.error import HTTPError, URLError
 from urllib.request import Request, urlopen
 
@@ -34,29 +35,6 @@ TIMEOUT_SECONDS = 30
 _PATH_SPECIALS = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(0x20)}
 
 
-@dataclass(frozen=True)
-class SeriesRequest:
-    series: tuple[str, ...]
-    slice: str | None
-    spec: RequestSpec
-    location: str  # a file for the file transport, empty for http
-
-    @property
-    def response_id(self) -> str:
-        """Names the response without the key."""
-        named = [self.spec.method, *self.series]
-        if self.slice:
-            named.append(self.slice)
-        if self.location:
-            named.append(os.path.basename(self.location))
-        return "/".join(named)
-
-
-class RequestBatch(InputPartition):
-    def __init__(self, requests: list[SeriesRequest]):
-        super().__init__(requests)
-
-
 def http_get(url: str, headers: dict[str, str], opener: Callable = urlopen) -> tuple:
     """(status, reason, body) of a GET; a refused status is data, not an exception.
 
@@ -68,7 +46,7 @@ def http_get(url: str, headers: dict[str, str], opener: Callable = urlopen) -> t
     except HTTPError as refused:
         with refused:
             return refused.code, str(refused.reason), refused.read().decode("utf-8", "replace")
-    except (URLError, OSError) as failed:
+    except (URLError, OSError, HTTPException) as failed:
         return None, f"no response: {getattr(failed, 'reason', failed)}", None
 
 
@@ -165,28 +143,31 @@ class BarResponseReader(DataSourceReader):
         return [e.path for e in os.scandir(folder) if e.is_file() and e.name[0] not in "._"]
 
     def partitions(self) -> list[InputPartition]:
+        """Plain tuples (series, slice, location), as there may be very many requests."""
         requests = [
-            SeriesRequest(series, slice_name, self.spec, location)
+            (series, slice_name, location)
             for series in self.series
             for slice_name in self.slices
             for location in self._locations(series, slice_name)
         ]
         size = self.requests_per_task
         batches = [requests[i:i + size] for i in range(0, len(requests), size)]
-        return [RequestBatch(batch) for batch in batches] or [RequestBatch([])]
+        return [InputPartition(batch) for batch in batches or [[]]]
 
-    def fetch(self, request: SeriesRequest) -> tuple:
+    def _fetch(self, series, slice_name, location) -> tuple:
         if self.transport == "file":
-            return file_get(request.location)
-        spec = replace(request.spec, slice=request.slice) if request.slice else request.spec
-        return http_get(spec.endpoint(self.base, request.series), self.headers)
+            return file_get(location)
+        spec = replace(self.spec, slice=slice_name) if slice_name else self.spec
+        return http_get(spec.endpoint(self.base, series), self.headers)
 
-    def read(self, partition: RequestBatch) -> Iterator[pa.RecordBatch]:
-        names = [f.name for f in response_schema(self.method.name)]
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        names = response_schema(self.method.name).names
         types = [pa.int32() if name == "status" else pa.string() for name in names]
-        for request in partition.value:
-            status, reason, body = self.fetch(request)
-            row = (*request.series, request.slice, request.response_id, status, reason, body)
+        for series, slice_name, location in partition.value:
+            status, reason, body = self._fetch(series, slice_name, location)
+            named = [self.method.name, *series, slice_name, os.path.basename(location)]
+            response_id = "/".join(part for part in named if part)
+            row = (*series, slice_name, response_id, status, reason, body)
             # One batch per response: bodies are large, and only one is held at a time.
             yield pa.RecordBatch.from_arrays(
                 [pa.array([value], type_) for value, type_ in zip(row, types)], names=names
