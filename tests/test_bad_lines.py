@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from conftest import land, plan_of
-from tickloom.operators.bad_lines import parse_lines, parse_responses
+from tickloom.operators.bad_lines import parse_responses
 from tickloom.plans.methods import schema_of
 from tickloom.plans.read import read_landing
 

@@ -81,6 +81,13 @@ def test_file_source_equals_text_source(spark, root):
     assert found.exceptAll(landed).count() == 0 and landed.exceptAll(found).count() == 0
 
 
+def test_file_locations(spark, root):
+    for path in (f"file:{root}", f"file://{root}"):
+        assert read_symbol(spark, SPEC, "IBM", transport="file", path=path).count() == 4
+    with pytest.raises(ValueError):
+        reader(transport="file", path="s3a://bucket/root")
+
+
 def test_one_task_per_file_and_batching(spark, root):
     series = [("IBM",), ("A/B",)]
     one = read_responses(spark, SPEC, series, transport="file", path=root)

@@ -28,8 +28,16 @@ _DATE = "_date"
 
 
 def bar_aggregates(
-    *, ts: str, open: str, high: str, low: str, close: str, tie_break: Sequence[str] = (),
-    adj_close: str | None = None, volume: str | None = None, dividend: str | None = None,
+    *,
+    ts: str,
+    open: str,
+    high: str,
+    low: str,
+    close: str,
+    tie_break: Sequence[str] = (),
+    adj_close: str | None = None,
+    volume: str | None = None,
+    dividend: str | None = None,
 ) -> tuple[list[Column], list[Column]]:
     """Aggregates of one bar, and the bar's columns in terms of them."""
     last = [close, adj_close] if adj_close else [close]

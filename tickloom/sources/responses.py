@@ -58,6 +58,14 @@ def file_get(location: str) -> tuple:
         return 404, "Not Found", None
 
 
+def _local_path(location: str) -> str:
+    """A plain path of a path or ``file:`` URI."""
+    scheme = location.split(":/", 1)[0] if ":/" in location else "file"
+    if scheme != "file":
+        raise ValueError(f"the file transport cannot open {scheme!r} locations; use read_landing")
+    return "/" + location.removeprefix("file:").lstrip("/") if ":/" in location else location
+
+
 def _escaped(value: str) -> str:
     """A partition value as Spark writes it in directory names."""
     return "".join(f"%{ord(c):02X}" if c in _PATH_SPECIALS else c for c in value)
@@ -92,7 +100,8 @@ class BarResponseReader(DataSourceReader):
             raise ValueError(f"transport {self.transport!r} is not supported")
         if not options.get(needed):
             raise ValueError(f"transport {self.transport!r} needs the option {needed!r}")
-        self.base = options.get(needed)
+        base = options.get(needed)
+        self.base = _local_path(base) if self.transport == "file" else base
         self.headers = {
             name.split(".", 1)[1]: options.get(name)
             for name in options if name.lower().startswith("header.")
