@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from tickloom.functions.calendar import instant_to_local
 from tickloom.operators.resample import bars_from_bars, bars_from_ticks, with_partial_flag
 from tickloom.plans.methods import INTERVALS
 from tickloom.plans.series import as_bars, as_series
@@ -137,6 +138,16 @@ def test_several_keys(spark):
     assert bars.count() == 2
 
 
+def test_instants_need_a_zone(spark, session_zone):
+    session_zone("Asia/Tokyo")
+    instants = spark.sql("select 'A' as symbol, timestamp'2021-04-01 00:30:00.000001 UTC' as ts, 1.0D as price")
+    with pytest.raises(ValueError):
+        bars_from_ticks(instants, "day")
+    local = instants.withColumn("ts", instant_to_local(F.col("ts"), "America/New_York"))
+    assert local.head().ts == datetime(2021, 3, 31, 20, 30, 0, 1)
+    assert bars_from_ticks(local, "day").head().ts == date(2021, 3, 31)
+
+
 def test_unknown_period(frame):
     with pytest.raises(ValueError):
         bars_from_ticks(frame, "2min")

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, TimestampNTZType
 
 from tickloom.plans.methods import INTERVALS, check_zone
 
@@ -73,8 +74,27 @@ def local_literal(value: date | datetime, kind: str) -> Column:
     return F.lit(value.isoformat()).cast(kind)
 
 
+def instant_to_local(instant: Column, zone: str) -> Column:
+    """Zone-less local timestamp in ``zone`` of a timestamp with time zone."""
+    return _micros_to_local(F.unix_micros(instant), zone)
+
+
 def millis_to_local(millis: Column, zone: str) -> Column:
     """Zone-less local timestamp in ``zone`` of epoch milliseconds."""
-    seconds = (millis / F.lit(1000).cast("decimal(4,0)")).cast("decimal(18,6)")
+    return _micros_to_local(millis * 1000, zone)
+
+
+def _micros_to_local(micros: Column, zone: str) -> Column:
+    seconds = (micros / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
     utc = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=seconds)
     return F.convert_timezone(F.lit("UTC"), F.lit(check_zone(zone)), utc)
+
+
+def check_local(df: DataFrame, ts: str) -> None:
+    """An instant would be read on the session's clock; the caller has to name the zone."""
+    kind = df.schema[ts].dataType
+    if not isinstance(kind, (DateType, TimestampNTZType)):
+        raise ValueError(
+            f"{ts} must be a date or a zone-less timestamp, not {kind.simpleString()}; "
+            "instant_to_local converts instants"
+        )

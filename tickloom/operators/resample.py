@@ -1,12 +1,13 @@
 """Bars from ticks, and longer bars from shorter ones.
 
-``ts`` is on the exchange's own clock: a zone-less timestamp or a date (an instant
-is read on the session's clock). Bars here are (keys, ts, open, high, low, close[, adj_close][, volume]
-[, dividend_amount]), ``ts`` being the bucket start for intraday bars, the date for
-daily bars and the last date with data for weekly and monthly ones. Buckets without ticks give no bar; the running week or month is kept.
+``ts`` is on the exchange's own clock: a zone-less timestamp or a date. Bars here are
+(keys, ts, open, high, low, close[, adj_close][, volume][, dividend_amount]), ``ts``
+being the bucket start for intraday bars, the date for daily bars and the last date
+with data for weekly and monthly ones. Buckets without ticks give no bar; the
+running week or month is kept.
 
 Each operator is one partial and one final aggregate around a single shuffle on
-(keys, bucket): a symbol with a third of all ticks leaves each map task as one
+(bucket, keys): a symbol with a third of all ticks leaves each map task as one
 row per bucket.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.aggregates import ends, money_sum
 from tickloom.functions.calendar import (
-    bucket_start, check_period, local_literal, period_end,
+    bucket_start, check_local, check_period, local_literal, period_end,
 )
 from tickloom.plans.methods import INTERVALS
 
@@ -68,6 +69,7 @@ def _bars(df: DataFrame, period: str, keys: Sequence[str], ts: str, **columns) -
 
 def trades_of(ticks: DataFrame, ts: str, price: str) -> DataFrame:
     """Rows without time or price are no trades."""
+    check_local(ticks, ts)
     return ticks.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
 
 
@@ -104,6 +106,7 @@ def bars_from_bars(
     The adjusted close is the last of the period and the dividend its sum.
     """
     check_period(period)
+    check_local(bars, "ts")
     optional = {"adj_close": "adj_close", "volume": "volume", "dividend": "dividend_amount"}
     given = {name: column for name, column in optional.items() if column in bars.columns}
     return _bars(

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickloom.functions.calendar import local_literal
+from tickloom.functions.calendar import check_local, local_literal
 from tickloom.plans.methods import SLICES, slice_ordinal
 
 # Days in a slice, points in a compact series.
@@ -24,6 +24,7 @@ def slice_bounds(name: str, as_of: date) -> tuple[date, date]:
 
 def _between(df: DataFrame, ts: str, first: date, last: date) -> DataFrame:
     """Dates first..last as a plain range on ``ts``, which reaches the scan."""
+    check_local(df, ts)
     kind = df.schema[ts].dataType.simpleString()
     start, end = local_literal(first, kind), local_literal(last + timedelta(days=1), kind)
     return df.filter((F.col(ts) >= start) & (F.col(ts) < end))

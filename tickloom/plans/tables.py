@@ -45,7 +45,7 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("symbol"),
         F.col("l_returnflag").alias("from_symbol"),
         F.col("l_linestatus").alias("to_symbol"),
-        F.col("l_shipdate").alias("ts"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
         price.alias("price"),
         F.col("l_quantity").cast("bigint").alias("volume"),
         (price * (1 - F.col("l_discount"))).alias("adj_close"),
@@ -62,7 +62,7 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("symbol"),
         F.col("event_type").alias("from_symbol"),
         F.lit("USD").alias("to_symbol"),
-        "ts",
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("volume"),
         "event_id",
