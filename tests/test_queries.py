@@ -4,7 +4,10 @@ import __spark_entry__ as contract
 import oracle
 from conftest import SMALL
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from tickloom.plans.tables import build_queries
+from tickloom.plans.tables_sql import build_sql
+
+QUERIES, SQL = build_queries(), build_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +17,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
