@@ -1,6 +1,7 @@
-"""Documents to a training mix, one written table after another.
+"""Documents to an encoded training mix, one written table after another.
 
-``STAGES`` run in order; each gets the documents its predecessor kept.
+``STAGES`` run in order; each gets the documents its predecessor kept, and all but the last return
+the columns of documents.
 """
 
 from __future__ import annotations
@@ -9,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm.jaccard_join import near_duplicates
+from tickloom.llm import bpe, jaccard_join, mixing, quality
+from tickloom.llm.queries import TOKENIZER, quality_labels
 from tickloom.sources.shared import written_once
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -18,18 +20,53 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    scored = quality.classify(docs, quality_labels(spark, sf_dir), keep=COLUMNS)
+    return scored.filter("predicted = 1").select(*COLUMNS)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id.
 
-    Documents without words link with nothing and stay. Of rows that repeat an id, those of the
-    group's name stay.
+    Documents without words link with nothing and stay, as do rows without an id. Rows that repeat an
+    id and its text are one document.
+    """
+    found = jaccard_join.near_duplicates(docs).filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    repeated = written_once(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").withColumn("_text", F.md5("text"))
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(
+        once.dropDuplicates(["doc_id", "_text"]).drop("_text"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each pass of the mix over a document, in training order.
+
+    A document at a source's cut has only the words the mix takes of it; documents the mix does not take, and those
+    without words, go.
     """
-    found = near_duplicates(docs).filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    mixed = mixing.in_training_order(mixing.mix(docs, keep=COLUMNS))
+    text = F.when(F.col("words") < F.col("size"), mixing.first_words(F.col("kept.text"), F.col("words")))
+    rows = mixed.withColumn("_text", text)
+    return rows.select(
+        "kept.doc_id", F.coalesce("_text", "kept.text").alias("text"), "kept.lang", "kept.source",
+        F.coalesce(F.length("_text").cast("bigint"), "kept.n_chars").alias("n_chars"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens and digests of each row's ids and of the text they decode to."""
+    return bpe.token_digests(docs, TOKENIZER)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", keep_good),
     ("ngram_jaccard_join", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("bpe", encode),
 ]
 
 

@@ -4,26 +4,98 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm.jaccard_join import near_duplicates
+from tickloom.llm import bpe, jaccard_join, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the order of their first place in the training order."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken", F.get("times", F.lit(0)).alias("first_time"),
+    ).orderBy(F.col("first_time").asc_nulls_last(), "doc_id")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf_dir, "documents"), quality_labels(spark, sf_dir))
+    return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_documents(spark, sf_dir))
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def build_queries() -> dict[str, Query]:
     return {
+        "op3_bpe": op3_bpe,
+        "op4_mixing": op4_mixing,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
 
+MIXING_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+queued AS (
+  SELECT *, CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), CAST(size AS VARCHAR))), 1, 8)
+    AS BIGINT) AS h
+  FROM sized),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place
+  FROM sized GROUP BY source),
+weighed AS (SELECT *, place + 1 AS weight, 1.5e0 - 0.5e0 * place AS ramp FROM sources),
+ordered AS (
+  SELECT *, row_number() OVER w AS number,
+    (SELECT sum(source_size) FROM weighed) - coalesce(sum(3 * source_size) OVER b, 0) AS rest,
+    (SELECT sum(weight) FROM weighed) - coalesce(sum(weight) OVER b, 0) AS weights
+  FROM weighed
+  WINDOW w AS (ORDER BY CAST(source_size AS DOUBLE) / weight, source),
+    b AS (ORDER BY CAST(source_size AS DOUBLE) / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT number AS first_free, rest, weights FROM ordered
+  WHERE 3 * source_size * weights >= rest * weight ORDER BY number LIMIT 1),
+targets AS (
+  SELECT source, source_size, ramp, CASE WHEN number < first_free THEN CAST(3 * source_size AS DOUBLE)
+    ELSE CAST(level.rest * weight AS DOUBLE) / CAST(level.weights AS DOUBLE) END AS target
+  FROM ordered, level),
+placed AS (
+  SELECT q.doc_id, q.size, t.source_size, t.target, t.ramp, CAST(floor(t.target + 0.5) AS BIGINT) AS goal,
+    CAST(coalesce(sum(q.size) OVER (PARTITION BY q.source ORDER BY q.h, q.doc_id, q.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place
+  FROM queued q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source),
+cut AS (
+  SELECT *, CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS whole FROM placed),
+parts AS (
+  SELECT *, least(greatest(goal - whole * source_size - place, 0), size) AS part,
+    CAST(place AS DOUBLE) / CAST(goal AS DOUBLE) AS x FROM cut)
+SELECT doc_id, size, source_size, target, CAST(whole * size + part AS BIGINT) AS taken,
+  CASE WHEN size > 0 AND (whole > 0 OR part > 0)
+    THEN 2 * x / (ramp + sqrt(ramp * ramp + 4 * (1 - ramp) * x)) END AS first_time
+FROM parts
+"""
+
+
 def build_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": MIXING_SQL}
