@@ -7,10 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, jaccard_join, mixing, quality
+from tickloom.llm import (
+    bpe, embedding_dedup, html_text, jaccard_join, licenses, mixing, quality, sharding, topk_search, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rules of the URL query, as (verdict, host, path).
+URL_RULES = (
+    ("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
+)
+SHARDS = tuple(f"shard-{i:03d}" for i in range(256))
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -22,6 +29,14 @@ def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"), ["doc_id"], SHARDS)
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -34,6 +49,23 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy(F.col("first_time").asc_nulls_last(), "doc_id")
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "verdict string, host string, path string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_texts(spark))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(table(spark, sf_dir, "documents"), quality_labels(spark, sf_dir))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -45,8 +77,14 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_queries() -> dict[str, Query]:
     return {
+        "op1_sharding": op1_sharding,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_bpe": op3_bpe,
         "op4_mixing": op4_mixing,
+        "op5_topk_search": op5_topk_search,
+        "op6_url_filter": op6_url_filter,
+        "op7_license_scan": op7_license_scan,
+        "op8_html_text": op8_html_text,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
@@ -97,5 +135,38 @@ FROM parts
 """
 
 
+TOPK_SQL = """
+WITH scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM scaled q JOIN scaled c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+URL_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+hosted AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS named FROM cut),
+parted AS (
+  SELECT page_id, translate(coalesce(named, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(substr(rest, length(named) + 1), '^[^?#]*'), '') AS path
+  FROM hosted),
+rules(verdict, host, path) AS (VALUES
+  ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/'))
+SELECT p.page_id, p.host, p.path, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
+  coalesce(max_by(r.verdict, length(r.host || r.path)), 'allow') AS verdict
+FROM (SELECT *, row_number() OVER () AS number FROM parted) p
+LEFT JOIN rules r ON (p.host = r.host OR p.host LIKE '%.' || r.host) AND starts_with(p.path, r.path)
+GROUP BY p.number, p.page_id, p.host, p.path
+"""
+
+
 def build_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL}
+    return {"op4_mixing": MIXING_SQL, "op5_topk_search": TOPK_SQL, "op6_url_filter": URL_SQL}
