@@ -15,9 +15,13 @@ where they cost least: segments made of frequent tokens, and empty ones, come
 last. Token frequencies come from all documents, and only guide the cost.
 
 Signatures are dealt by hash in packed blocks, each class of equal sets once a task. Sets that share
-a signature become a star around its smallest member, never all pairs; groups of
-more than ``SMALL`` sets are kept as lists too. Verified stars give components, and
-only a list whose sets are still in several components has its remaining pairs compared.
+a signature are candidates; a group of more than ``SMALL`` sets becomes a list, and its pairs are those with its hub, the
+member of most lists. Verified pairs give components. Only lists whose sets are still in several
+components have their remaining pairs compared, in blocks of bounded size.
+
+Before sets are fetched, two cheap bounds drop pairs that cannot link: their sizes, and their parity
+bitmaps. A bitmap holds the parity of the number of tokens in each of ``CELLS`` cells, so two sets differ in at
+least as many tokens as their bitmaps in bits.
 
 Cases: null and empty texts have no shingles and link with nothing; repeated rows
 are one class; a null id is a row like any other and never names a component; other columns
@@ -31,10 +35,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.shingles import TOKEN_BITS, mix, token_sets
+from tickloom.llm.shingles import mix, token_sets
+from tickloom.llm.vectors import in_blocks
 from tickloom.sources.shared import written_once
 
 _U = np.uint64
@@ -42,17 +47,22 @@ _U = np.uint64
 PERCENT = 80
 SLACK = 1.1
 INDEXED, PROBE, PROBE_TWO, PROBE_CUT, INDEXED_CUT = 1, 2, 4, 8, 16
-_PROBES, _INDEXES = PROBE | PROBE_TWO | PROBE_CUT, INDEXED | INDEXED_CUT
 ROLE_BITS = 5
 SMALL = 4
 #: Signatures a bucket holds on average, and a packed block before it is sent.
 BUCKET_ROWS = 1 << 20
-BLOCK_ROWS = 1 << 21
+BLOCK_ROWS = 1 << 19
 #: Classes a task remembers as sent; beyond it starts anew and sends some twice.
-REMEMBERED = 1 << 20
-#: Frequent tokens: at least so many documents of a chunk; so many of them guide the cost.
-FREQUENT_IN_CHUNK = 4
+REMEMBERED = 1 << 18
+#: Frequent tokens: in at least so many different sets of a window of so many tokens; the most frequent guide the cost.
+FREQUENT_IN_WINDOW = 3
+WINDOW_TOKENS = 1 << 22
 FREQUENT = 1 << 16
+CELLS = 1024
+#: Members of a list in one side of a comparison.
+LIST_BLOCK = 2048
+#: Up to so many segments, one-deletion neighbours are indexed for all of them.
+ALL_CUT = 8
 _HOT_SLOTS = 1 << 22
 
 
@@ -68,7 +78,7 @@ _TOP = _EDGES[1:] - 1
 #: Largest difference in a band, from a partner of the top size and the largest set that meets it.
 _MOST = (_TOP + _TOP * 100 // PERCENT) // 9 + 1
 _SEGMENTS = np.ceil(_MOST * SLACK).astype(np.int64) + 1
-_CUT_SEGMENTS = 1 + _SEGMENTS // 32
+_CUT_SEGMENTS = np.where(_SEGMENTS <= ALL_CUT, _SEGMENTS, 1 + _SEGMENTS // 32)
 
 
 class Units(NamedTuple):
@@ -153,27 +163,6 @@ def signatures(doc, token, size, hot) -> Units:
     return Units(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
 
-def _describe(batches):
-    """Per document its size and set id; per chunk its frequent tokens, as kind 1."""
-    for batch in batches:
-        ids = batch.column(0)
-        for sets in token_sets(batch.column(1)):
-            n = sets.last - sets.first
-            empty = pa.array(sets.size == 0)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.zeros(n, np.int8)), ids.slice(sets.first, n), pa.array(sets.size),
-                pa.compute.if_else(empty, pa.scalar(None, pa.int64()), pa.array(sets.set_id)),
-            ], ["kind", "doc_id", "n_shingles", "set_id"])
-            token, count = np.unique(sets.token, return_counts=True)
-            often = count >= FREQUENT_IN_CHUNK
-            if often.any():
-                token, count = token[often].astype(np.int64), count[often].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.ones(len(token), np.int8)), pa.array(token), pa.array(count),
-                    pa.array(np.zeros(len(token), np.int64)),
-                ], ["kind", "doc_id", "n_shingles", "set_id"])
-
-
 class _Fresh:
     """Which set ids a task meets for the first time."""
 
@@ -191,6 +180,50 @@ class _Fresh:
         return fresh
 
 
+def _often(held: list[np.ndarray]) -> pa.RecordBatch:
+    token, count = np.unique(np.concatenate(held), return_counts=True)
+    often = count >= FREQUENT_IN_WINDOW
+    token, count = token[often].astype(np.int64), count[often].astype(np.int64)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.ones(len(token), np.int8)), pa.array(token), pa.array(count),
+        pa.array(np.zeros(len(token), np.int64)), pa.nulls(len(token), pa.list_(pa.int64()))], _DESCRIBED)
+
+
+_DESCRIBED = ["kind", "doc_id", "n_shingles", "set_id", "bits"]
+
+
+def _parities(sets) -> pa.Array:
+    """Parity bitmap of each set of a chunk, as longs."""
+    n = sets.last - sets.first
+    with np.errstate(over="ignore"):
+        cell = (mix(sets.token + _U(0xB175)) & _U(CELLS - 1)).astype(np.int64)
+    odd = (np.bincount(sets.doc * CELLS + cell, minlength=n * CELLS) & 1).astype(np.uint8)
+    words = np.packbits(odd.reshape(n, CELLS), axis=1).view(np.int64)
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * words.shape[1])
+    return pa.ListArray.from_arrays(offsets, pa.array(words.ravel()))
+
+
+def _describe(batches):
+    """Per document its size and set id; per window of different sets its frequent tokens, as kind 1."""
+    fresh, held, n_held = _Fresh(), [], 0
+    for batch in batches:
+        ids = batch.column(0)
+        for sets in token_sets(batch.column(1)):
+            n = sets.last - sets.first
+            empty = pa.array(sets.size == 0)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.zeros(n, np.int8)), ids.slice(sets.first, n), pa.array(sets.size),
+                pa.compute.if_else(empty, pa.scalar(None, pa.int64()), pa.array(sets.set_id)), _parities(sets),
+            ], _DESCRIBED)
+            held.append(sets.token[fresh(sets.set_id)[sets.doc]])
+            n_held += len(held[-1])
+            if n_held >= WINDOW_TOKENS:
+                yield _often(held)
+                held, n_held = [], 0
+    if n_held:
+        yield _often(held)
+
+
 def _pack(signature: np.ndarray, set_id: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Blocks of one bucket each: byte planes of the sorted signatures, and places in a list of ids."""
     key = ((signature >> _U(32)) * _U(buckets)) >> _U(32)
@@ -273,27 +306,20 @@ def _meet(block: pa.Table) -> pa.Table:
     group = np.repeat(np.arange(len(starts)), size)
     kept = (useful & (size > 1))[group]
     group, set_id, role = group[kept], set_id[kept], role[kept]
-    none = np.iinfo(np.int64).max
-    index = role & _INDEXES > 0
-    probe = role & _PROBES > 0
-    hub_index, hub_probe = np.full(len(starts), none), np.full(len(starts), none)
-    np.minimum.at(hub_index, group[index], set_id[index])
-    np.minimum.at(hub_probe, group[probe], set_id[probe])
-    pairs = [(hub_index[group[probe]], set_id[probe]), (hub_probe[group[index]], set_id[index])]
+    pairs = []
     few = size[group] <= SMALL
     for step in range(1, SMALL):
         at = np.flatnonzero(few[:-step] & (group[step:] == group[:-step]))
         pairs.append((set_id[at], set_id[at + step]))
     a, b = (np.concatenate(x) for x in zip(*pairs))
-    real = (a != b) & (a != none) & (b != none)
-    a, b = np.minimum(a, b)[real], np.maximum(a, b)[real]
+    a, b = np.minimum(a, b), np.maximum(a, b)
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     with np.errstate(over="ignore"):
         lists = np.zeros(len(starts), _U)
-        np.add.at(lists, group, mix(set_id.view(_U)) + mix((set_id.view(_U) << _U(1)) ^ role.astype(_U)))
+        np.add.at(lists, group, mix(set_id.view(_U)))
     many = ~few
     listed, first = np.unique(lists[group[many]], return_index=True)
     chosen = np.isin(group, group[many][first])
@@ -337,22 +363,60 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))
     na, nb = F.size("ta").cast("bigint"), F.size("tb").cast("bigint")
     common = F.size(F.array_intersect("ta", "tb")).cast("bigint")
-    near = (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT) & (common * 100 >= (na + nb - common) * PERCENT)
+    near = common * 100 >= (na + nb - common) * PERCENT
     return pairs.join(right, "b").join(left, "a").filter(near).select(
         F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a list whose members are in different components."""
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that sizes and bitmaps do not rule out."""
+    described = classes.select("set_id", "size", "bits")
+    both = pairs.join(described.toDF("a", "na", "bits_a"), "a").join(described.toDF("b", "nb", "bits_b"), "b")
+    unlike = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    size = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT
+    return both.filter(size).filter(unlike * 9 <= F.col("na") + F.col("nb")).select("a", "b")
+
+
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """Each list's members with its hub, the member of most lists."""
+    central = lists.groupBy("set_id").agg(F.count("*").alias("lists"))
+    hubs = lists.join(central, "set_id").groupBy("list").agg(F.max(F.struct("lists", "set_id")).alias("hub"))
+    star = lists.join(hubs.select("list", F.col("hub.set_id").alias("hub")), "list").filter("set_id <> hub")
+    return star.select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
+
+
+def _cross(table: pa.Table) -> pa.Table:
+    """Pairs of a block and a slice in different components that sizes and bitmaps do not rule out."""
+    asks = table.column("_asks").to_numpy()
+    ids, root, size = (table.column(n).to_numpy() for n in ("id", "root", "size"))
+    bits = np.concatenate([c.flatten().to_numpy() for c in table.column("bits").chunks]).reshape(len(ids), -1)
+    a, b = [], []
+    answers = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks):
+        j = answers[root[answers] != root[i]]
+        j = j[np.minimum(size[j], size[i]) * 100 >= np.maximum(size[j], size[i]) * PERCENT]
+        unlike = np.bitwise_count((bits[j] ^ bits[i]).view(_U)).sum(1, dtype=np.int64)
+        j = j[unlike * 9 <= size[j] + size[i]]
+        a.append(np.minimum(ids[j], ids[i]))
+        b.append(np.maximum(ids[j], ids[i]))
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    return pa.table([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def _open_pairs(lists: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of a list whose members are in different components and may link."""
     placed = lists.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "list", "set_id", F.coalesce("root", "set_id").alias("root"))
-    placed = placed.join(
-        placed.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low <> high").select("list"), "list")
-    other = placed.select("list", F.col("set_id").alias("b"), F.col("root").alias("other"))
-    return placed.withColumnRenamed("set_id", "a").join(other, "list").filter(
-        (F.col("a") < F.col("b")) & (F.col("root") != F.col("other"))
-    ).select("a", "b").distinct()
+    # The component with most members of a list; only its pairs with the others are left, and those of the others.
+    shares = placed.groupBy("list", "root").agg(F.count("*").alias("n"))
+    leading = shares.groupBy("list").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
+    placed = placed.join(leading.select("list", F.col("most.root").alias("leading")), "list")
+    placed = placed.join(classes.select("set_id", "size", "bits"), "set_id").withColumnRenamed("set_id", "id")
+    spread = in_blocks(placed, "list", "root <> leading", LIST_BLOCK)
+    return spread.select("list", "_block", "_slice", "_asks", "id", "root", "size", "bits").groupBy(
+        "list", "_block", "_slice").applyInArrow(_cross, "a bigint, b bigint").distinct()
 
 
 class Joined(NamedTuple):
@@ -369,10 +433,12 @@ def jaccard_links(documents: DataFrame) -> Joined:
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = written_once(docs.mapInArrow(
-        _describe, "kind tinyint, doc_id bigint, n_shingles bigint, set_id bigint"), "described")
+        _describe, "kind tinyint, doc_id bigint, n_shingles bigint, set_id bigint, bits array<bigint>"), "described")
     info = described.filter("kind = 0").drop("kind")
     classes = written_once(
-        info.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id")), "classes")
+        info.filter("set_id IS NOT NULL").groupBy("set_id").agg(
+            F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("size"),
+            F.max("bits").alias("bits")), "classes")
     tokens = described.filter("kind = 1").groupBy("doc_id").agg(F.sum("n_shingles").alias("n"))
     tokens = tokens.orderBy(F.desc("n"), "doc_id").limit(FREQUENT)
     frequent = np.array([row[0] for row in tokens.select("doc_id").collect()], np.int64)
@@ -382,11 +448,14 @@ def jaccard_links(documents: DataFrame) -> Joined:
     packed = docs.select("text").mapInArrow(
         _sender(buckets, frequent), "bucket int, signatures binary, ids binary, places binary")
     met = written_once(packed.groupBy("bucket").applyInArrow(_meet, "kind tinyint, a bigint, b bigint"), "met")
-    pairs = written_once(met.filter("kind = 0").select("a", "b").distinct(), "pairs")
-    lists = met.filter("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("set_id")).distinct()
+    lists = written_once(
+        met.filter("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("set_id")).distinct(), "lists")
+    pairs = met.filter("kind = 0").select("a", "b").unionByName(_star_pairs(lists)).distinct()
+    pairs = written_once(_bounded(pairs, classes), "pairs")
     sets = _sets_of(docs, classes, pairs)
     links = written_once(_linked(pairs, sets), "linked")
-    more = written_once(_open_pairs(lists, components(links)).join(pairs, ["a", "b"], "left_anti"), "open")
+    more = _open_pairs(lists, components(links), classes).join(pairs, ["a", "b"], "left_anti")
+    more = written_once(more, "open")
     if not more.isEmpty():
         links = links.unionByName(_linked(more, _sets_of(docs, classes, more)))
     return Joined(info, links)

@@ -49,7 +49,9 @@ def _power(base: int, n: int) -> np.ndarray:
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a string column; nulls are empty."""
-    column = column.fill_null("").cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
+    column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     raw = column.buffers()[2]
     return offsets, np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
@@ -131,3 +133,4 @@ def token_sets(column: pa.Array) -> Iterator[TokenSets]:
     for first, last in chunks(offsets):
         low, high = offsets[first], offsets[last]
         yield TokenSets(first, last, *tokens(data[low:high], offsets[first:last + 1] - low))
+    pa.default_memory_pool().release_unused()
