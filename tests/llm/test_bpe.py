@@ -1,0 +1,67 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from conftest import SMALL
+from llm_fixtures import documents  # noqa: F401
+from tickloom.llm import bpe
+from tickloom.llm.queries import TOKENIZER, build_queries
+
+OURS, LIBRARY = bpe.ByteBPE(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+ODD = ["", " ", "\n\n ", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", "x" * 5000, "日本語のテスト", "don't I'LL",
+       "\t\tif x:\r\n", "\u200b\u00a0", "\ufffd\x00", "a\u0301" * 40, "12345.678", "퟿" * 9, "  two  spaces  "]
+
+
+def plain(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    return ids, LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_texts(text):
+    ids, decoded = plain(text)
+    assert OURS.encode(text) == ids and OURS.decode(ids).decode("utf-8", "replace") == decoded
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    assert OURS.encode(text) == plain(text)[0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aeinrst"), min_size=1, max_size=30), min_size=1, max_size=20))
+def test_merging_together_is_merging_alone(words):
+    words = [w.encode() for w in words]
+    assert OURS.merge_together(words) == [OURS.merge(w) for w in words]
+
+
+def test_small_tables_of_known_words(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 5)
+    monkeypatch.setattr(bpe, "KNOWN_LENGTH", 4)
+    own = bpe.ByteBPE(TOKENIZER)
+    texts = ["one two three four five six seven", "eight nine three internationalisation", "one two"] * 2
+    for text, row in zip(texts, own.digest_texts(texts) ):
+        assert row[0] == len(plain(text)[0])
+    assert own.digest_texts(["seven eight"])[0][0] == 2
+
+
+def test_query_on_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for row in build_queries()["op3_bpe"](spark, SMALL).collect():
+        ids, decoded = plain(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_round_trip_and_odd_rows(spark, documents):
+    rows = [(1, None), (2, ""), (3, "same"), (3, "same"), (None, "some text"), (4, "long " * 30_000)]
+    ids = bpe.encode(documents(*rows), TOKENIZER, keep=("doc_id", "text"))
+    back = bpe.decode(ids, TOKENIZER, keep=("text",)).collect()
+    assert len(back) == len(rows) and all(r.decoded == (r.text or "") for r in back)
+    digests = {r.doc_id: r for r in bpe.token_digests(documents(*rows), TOKENIZER).collect()}
+    assert digests[1].n_tokens == 0 and digests[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
+    assert bpe.token_digests(documents(), TOKENIZER).count() == 0

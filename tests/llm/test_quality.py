@@ -1,0 +1,51 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from llm_fixtures import documents  # noqa: F401
+from tickloom.llm import quality
+from tickloom.llm.queries import build_queries
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = build_queries()["op9_quality_classifier"](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    judged = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert len(judged) > 50 and np.mean([p == q for p, q in judged]) > 0.95
+
+
+def test_scores_are_votes_of_nearest_vectors():
+    rng = np.random.default_rng(0)
+    counts = []
+    for i in range(40):
+        terms = np.sort(rng.choice(30, 8, replace=False)) + (100 if i % 2 else 0)
+        counts.append((terms.tolist(), rng.integers(1, 9, 8).astype(np.float32).tolist()))
+    labels = np.arange(40) % 2
+    model = quality.fit(counts, labels)
+    rows = model.vectors.T @ model.directions.T
+    cosine = quality._unit(rows @ model.directions) @ model.vectors
+    got = quality.score_block(model, rows)
+    for i in range(40):
+        near = sorted(range(40), key=lambda j: -cosine[i, j])[:quality.NEIGHBOURS]
+        weight = np.maximum(cosine[i, near], 0)
+        assert got[i] == pytest.approx((weight * labels[near]).sum() / weight.sum(), abs=1e-4)
+
+
+def test_odd_rows(spark, documents):
+    good, bad = "Plain words make a sentence. And another one.", "BUY!!! NOW!!! ### $$$ *** ||| 777"
+    rows = [(i, (good, bad)[i % 2] + " x" * (i % 5)) for i in range(60)]
+    odd = [(100, None), (101, ""), (102, " \n"), (103, good * 5000), (104, good), (104, good), (None, bad), (105, "😀" * 50)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)] + [(None, 1), (7, None), (3, 0)], "doc_id bigint, label int")
+    found = quality.classify(documents(*rows, *odd), labels, keep=("source", "n_chars")).collect()
+    assert len(found) == len(rows) + len(odd)
+    by_id = {r.doc_id: r.score for r in found}
+    assert by_id[100] == by_id[101] and by_id[103] > 0.7 and by_id[104] > 0.7 and by_id[None] < 0.7
+    assert quality.classify(documents(), labels).count() == 0
+    unlabelled = quality.classify(documents(*rows), labels.limit(0)).collect()
+    assert {r.score for r in unlabelled} == {1.0}

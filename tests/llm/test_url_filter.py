@@ -1,0 +1,49 @@
+import random
+import re
+
+from tickloom.llm import url_filter
+from tickloom.llm.queries import URL_RULES
+
+RULES = "verdict string, host string, path string"
+
+
+def plain(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match("[^/?#]*", rest)[0]
+    path = re.match("[^?#]*", rest[len(host):])[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h + p), len(h), h + p, v) for v, h, p in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=(0, 0, None, "allow"))
+    return host, path, best[2], best[3]
+
+
+def judged(spark, urls, rules):
+    pages = spark.createDataFrame([(i, u, "other") for i, u in enumerate(urls)], "page_id bigint, url string, verdict string")
+    found = url_filter.judge(pages, spark.createDataFrame(rules, RULES))
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found.collect()}
+
+
+def test_rules_equal_the_definition(spark):
+    rng = random.Random(3)
+    hosts = ["example.net", "a.example.net", "EXAMPLE.com", "xexample.com", "b.org", "org", "net", "a..net", "net:80", "É.net"]
+    paths = ["", "/", "/en/", "/en", "/de/x/y", "/fr/1?q=/en/", "/x#/de/", "?a=/en/", "#top", "//en/"]
+    urls = [rng.choice(["http", "", "x"]) + "://" + h + p for h in hosts for p in paths]
+    urls += [None, "", "example.net/en/", "://", "a://b://c", "http://u@example.net/en/\nx"]
+    rules = [*URL_RULES, ("block", "a.example.net", "/en/"), ("allow", "com", "/de/x/"), ("block", "org", "/fr/1"), ("block", "", "")]
+    for own in (list(URL_RULES), rules):
+        assert judged(spark, urls, own) == {i: plain(u, own) for i, u in enumerate(urls)}
+
+
+def test_no_rules_nulls_and_many_labels(spark):
+    urls = ["http://" + "a." * 3000 + "net/x", None]
+    assert judged(spark, urls, [])[1] == ("", "", None, "allow")
+    assert judged(spark, urls, list(URL_RULES))[0][2:] == ("net/", "block")
+    assert judged(spark, urls, [("block", None, "/"), ("allow", "net", "/"), ("block", "net", "/")])[0][3] == "block"
+
+
+def test_repeated_pages(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/")] * 3 + [(None, "http://x.net/")], "page_id bigint, url string")
+    found = url_filter.judge(pages, spark.createDataFrame(list(URL_RULES), RULES)).collect()
+    assert len(found) == 4 and {r.verdict for r in found} == {"block"}
+    assert url_filter.judge(pages.limit(0), spark.createDataFrame(list(URL_RULES), RULES)).count() == 0

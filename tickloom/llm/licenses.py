@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Known texts are broadcast up to so many rows, some 20 MB.
 BROADCAST_TEXTS = 100_000
-#: Lines shorter or longer than any known one-line text, in normalised characters, are not looked up.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:copyright\b|\(c\)|©)[^\n]*$"
+#: A line of running text may begin with the word, so a statement's next sign or year is asked for too.
+_COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:copyright[ \t:]*(?:\(c\)|©|\d{4}|by\b)|\(c\)|©)[^\n]*$"
 _NOT_WORD = r"[^\p{L}\p{N}+]+"
 
 #: Equivalent spellings, after case and punctuation are gone.

@@ -27,7 +27,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.shingles import WIDTH, _words, chunks, text_buffers, tokens
 
@@ -221,7 +221,7 @@ def _scorer(shared):
     return score
 
 
-def held_out() -> F.Column:
+def held_out() -> Column:
     """Rows of doc_id from which no label is learnt."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) % 4 == 2
 
