@@ -44,6 +44,34 @@ def by_hand(bars, events):
     return found
 
 
+def as_of(bars, events, symbol, date_):
+    """Factor of any date: what the next daily row's factor and own events come to."""
+    found = by_hand(bars, events)
+    if (symbol, date_) in found:
+        return found[symbol, date_]
+    own = sorted(b for b in bars if b[0] == symbol)
+    probe = (symbol, date_, 1.0, 1.0, 1.0, None, 5)
+    before = [b for b in own if b[1] < date_]
+    if len(before) == len(own):
+        return 1.0
+    # As if the date had a bar with the close before it and events belonged to the next real bar.
+    close = before[-1][5] if before else None
+    later = own[len(before):]
+    moved = [(s, max(e, later[0][1]) if date_ >= e > (before[-1][1] if before else date.min) else e, d, c)
+             for s, e, d, c in events]
+    if close is None:
+        return found[symbol, later[0][1]] * step_of(own, moved, symbol, later[0][1])
+    return by_hand(before + [(*probe[:5], close, 5)] + later, [e for e in moved if e[0] == symbol])[symbol, date_]
+
+
+def step_of(own, events, symbol, first):
+    split = 1.0
+    for s, ts, _, ratio in events:
+        if s == symbol and ts <= first:
+            split *= ratio
+    return 1 / split
+
+
 def frames(spark, series):
     return spark.createDataFrame(series[0], DAILY), spark.createDataFrame(series[1], EVENTS)
 
@@ -87,10 +115,9 @@ def test_intraday(spark, series):
         [(s, datetime(2024, 1, 2 + n, 9 + h), 1.0, 2.0, 3.0, 4.0, 7) for s in ("A", "B") for n in range(20) for h in range(3)],
         DAILY.replace("ts date", "ts timestamp_ntz"))
     adjusted = adjust_intraday(bars, daily_with_events(daily, events)).collect()
-    expected = by_hand(*series)
     assert len(adjusted) == 120
     for row in adjusted:
-        factor = expected.get((row.symbol, row.ts.date()), 1.0)
+        factor = as_of(*series, row.symbol, row.ts.date())
         assert [row.open, row.high, row.low, row.close] == pytest.approx([factor, 2 * factor, 3 * factor, 4 * factor])
         assert row.volume == 7
 
@@ -107,3 +134,21 @@ def test_only_daily_bars_have_factors(spark, series):
     bars = daily.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     with pytest.raises(ValueError):
         daily_with_events(bars, events)
+
+
+def test_dates_without_a_daily_row_and_null_keys(spark):
+    daily = spark.createDataFrame(
+        [(k, day(n), 1.0, 1.0, 1.0, 10.0, 1, 0.0, c) for k in ("A", None) for n, c in ((0, 1.0), (4, 2.0))],
+        DAILY + ", dividend_amount double, split_coefficient double")
+    bars = spark.createDataFrame(
+        [(k, datetime(2024, 1, 1 + n, 9), 10.0, 10.0, 10.0, 10.0, 1) for k in ("A", None, "B") for n in (0, 1, 4, 5)],
+        DAILY.replace("ts date", "ts timestamp_ntz"))
+    found = {(r.symbol, r.ts.day): r.open for r in adjust_intraday(bars, daily).collect()}
+    assert found == {(k, d): 5.0 if k != "B" and d < 5 else 10.0 for k in ("A", None, "B") for d in (1, 2, 5, 6)}
+
+
+def test_a_repeated_date_is_refused(spark):
+    daily = spark.createDataFrame(
+        [("A", day(0), 1.0, 1.0, 1.0, 10.0, 1, 0.0, 1.0)] * 2, DAILY + ", dividend_amount double, split_coefficient double")
+    with pytest.raises(Exception, match="two daily bars"):
+        with_factor(daily).collect()

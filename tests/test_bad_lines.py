@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from conftest import land, plan_of
-from tickloom.operators.bad_lines import parse_responses
+from tickloom.operators.bad_lines import parse_lines, parse_responses
 from tickloom.plans.methods import schema_of
 from tickloom.plans.read import read_landing
 
@@ -164,3 +164,51 @@ def test_big_file_is_split_over_tasks(spark, tmp_path):
         assert found.bars.count() == 20000 and found.errors.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+ODD_HEADERS = {
+    "note_first": "\n".join(["note", HEADER, GOOD[0], HEADER, GOOD[1]]),
+    "twice": "\n".join(["", HEADER, GOOD[0], HEADER, GOOD[1]]),
+    "headers_only": "\n".join([HEADER, HEADER]),
+}
+
+
+@pytest.mark.parametrize("policy", ["quarantine", "void_response"])
+def test_both_paths_read_the_same_bytes_alike(spark, tmp_path, policy):
+    bodies = BODIES | ODD_HEADERS
+    for name, body in bodies.items():
+        land(tmp_path, DAILY, {"symbol": name}, {name: body})
+    rows = [(name, 200, "OK", body) for name, body in bodies.items()]
+    whole = parse_responses(responses(spark, rows), DAILY, zone="UTC", keys=("symbol",), on_bad_line=policy)
+    lines = read_landing(spark, str(tmp_path), DAILY, zone="UTC", on_bad_line=policy)
+    assert sorted(map(str, whole.bars.collect())) == sorted(map(str, lines.bars.collect()))
+    # A response without header has one error row in either path; its lines have none.
+    reasons = [sorted((r.symbol, r.reason) for r in found.errors.collect()) for found in (whole, lines)]
+    assert reasons[0] == reasons[1]
+    assert ("note_first", "no header") in reasons[0] and ("twice", "bad timestamp") in reasons[0]
+
+
+LINES = "symbol string, response_id string, line string, position int"
+
+
+def line_rows(bad_symbol):
+    return [(s, i, line, n) for s in ("A", None) for i in ("1", None)
+            for n, line in enumerate([HEADER, GOOD[0], "x" if (s, i) == bad_symbol else GOOD[1]])]
+
+
+@pytest.mark.parametrize("bad", [("A", "1"), (None, "1"), ("A", None), (None, None)])
+def test_verdicts_hold_for_one_response_only(spark, bad):
+    found = parse_lines(spark.createDataFrame(line_rows(bad), LINES), DAILY, zone="UTC", keys=("symbol",),
+                        on_bad_line="void_response", position="position")
+    assert {r.symbol: r["count"] for r in found.bars.groupBy("symbol").count().collect()} == {
+        s: 2 if s == bad[0] else 4 for s in ("A", None)}
+    assert [(r.symbol, r.response_id, r.line) for r in found.errors.collect()] == [(*bad, "x")]
+
+
+def test_written_tables_can_be_discarded(spark):
+    found = parse_lines(spark.createDataFrame(line_rows(("A", "1")), LINES), DAILY, zone="UTC", keys=("symbol",),
+                        on_bad_line="void_response")
+    assert found.bars.count() == 6 and len(found.written) == 2
+    found.discard()
+    with pytest.raises(Exception, match="not exist|FileNotFound|No such"):
+        found.bars.count()

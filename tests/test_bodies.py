@@ -41,3 +41,13 @@ def test_files_are_whole_bodies(spark, tmp_path):
     bodies = landed_bodies(spark, str(tmp_path))
     assert {r.body for r in text_bodies(bodies).bodies.collect()} == {text, '{"k":\n 3}'}
     assert json_bodies(bodies, schema="k bigint").bodies.select("json.k").collect() == [(3,)]
+
+
+def test_bodies_that_do_not_fit_the_schema_are_errors(spark):
+    bodies = {"fits": '{"k": 1}', "less": "{}", "more": '{"k": 2, "x": []}', "type": '{"k": "x"}', "list": "[1, 2]",
+              "number": "7", "cut": '{"k": 1', "empty": "", "none": None, "null": " null "}
+    frame_ = spark.createDataFrame([(n, 200, "OK", b) for n, b in bodies.items()], SCHEMA)
+    found = json_bodies(frame_, schema="k bigint")
+    assert {r.response_id: r.k for r in found.bodies.select("response_id", "json.k").collect()} \
+        == {"fits": 1, "less": None, "more": 2, "null": None}
+    assert reasons(found.errors) == {n: "bad json" for n in ("type", "list", "number", "cut", "empty", "none")}

@@ -85,8 +85,8 @@ def test_equal_order_is_settled_by_price(spark):
 
 
 def test_unique_times_aggregate_by_hash(frame):
-    for bars in (bars_from_ticks(frame, "5min", volume="volume"),
-                 bars_from_bars(bars_from_ticks(frame, "5min", volume="volume"), "week")):
+    five = bars_from_ticks(frame, "5min", unique_ts=True, volume="volume")
+    for bars in (five, bars_from_bars(five, "week", source="5min")):
         assert "SortAggregate" not in plan_of(bars)
 
 
@@ -100,7 +100,7 @@ def test_session_zone_does_not_matter(frame, ticks, session_zone, period):
                                          ("day", "week"), ("day", "month"), ("1min", "month")])
 def test_longer_bars_from_shorter_ones(frame, ticks, short, long):
     bars = bars_from_ticks(frame, short, tie_break=ORDER, volume="volume")
-    assert rows(bars_from_bars(bars, long)) == expected(ticks, long)
+    assert rows(bars_from_bars(bars, long, source=short)) == expected(ticks, long)
 
 
 def test_properties(frame):
@@ -122,7 +122,7 @@ def test_adjusted_periods(spark):
     assert rows(weekly) == {("A", date(2021, 4, 7), 10.0, 11.0, 10.0, 11.0, 9.5, 0.3),
                             ("A", date(2021, 4, 12), 12.0, 12.0, 12.0, 12.0, 12.0, 0.0)}
     daily = bars_from_ticks(ticks, "day", adj_close="adj", dividend="paid")
-    assert rows(bars_from_bars(daily, "week")) == rows(weekly)
+    assert rows(bars_from_bars(daily, "week", source="day")) == rows(weekly)
 
 
 def test_rows_without_time_or_price_are_no_trades(spark):
@@ -176,3 +176,39 @@ def test_one_shuffle_and_partial_aggregates(frame):
     plan = plan_of(bars_from_ticks(frame, "5min", tie_break=ORDER, volume="volume"))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_min" in plan and "partial_sum" in plan
+
+
+def test_ties_are_settled_by_price_whatever_the_order(spark):
+    at = datetime(2021, 4, 5, 9)
+    ticks = [("A", at, 1, 2.0, 1), ("A", at, 2, 1.0, 1), ("A", at, 3, 3.0, 1)]
+    for given in (ticks, ticks[::-1]):
+        bar = bars_from_ticks(spark.createDataFrame(given, SCHEMA), "5min").first()
+        assert (bar.open, bar.close) == (1.0, 3.0)
+    with pytest.raises(ValueError):
+        bars_from_ticks(spark.createDataFrame(ticks, SCHEMA), "5min", unique_ts=True, tie_break=("id",))
+
+
+def test_fractions_of_volume_are_summed_before_rounding(spark):
+    ticks = spark.createDataFrame(
+        [("A", datetime(2021, 4, 5), 1.0, v) for v in (0.5, 0.5, 0.1, 0.2)], "symbol string, ts timestamp_ntz, price double, size double")
+    assert bars_from_ticks(ticks, "day", volume="size").first().volume == 1
+    exact = ticks.withColumn("size", F.col("size").cast("decimal(10,2)"))
+    assert bars_from_ticks(exact, "day", volume="size").first().volume == 1
+
+
+def test_odd_dividends(spark):
+    def total(*paid):
+        ticks = spark.createDataFrame(
+            [("A", datetime(2021, 4, 5), 1.0, p) for p in paid], "symbol string, ts timestamp_ntz, price double, paid double")
+        return bars_from_ticks(ticks, "day", dividend="paid").first().dividend_amount
+
+    assert total(1e-9, 2e-9) == 3e-9 and total(None, 0.5) == 0.5
+    assert total(1.0, float("nan")) != total(1.0, float("nan")) and total(1.0, float("inf")) == float("inf")
+
+
+@pytest.mark.parametrize("source, period", [("week", "month"), ("day", "1min"), ("day", "day"), ("30min", "15min"), ("month", "week"),
+                                            ("60min", "60min")])
+def test_roll_ups_that_do_not_divide(spark, source, period):
+    bars = spark.createDataFrame([], "symbol string, ts date, open double, high double, low double, close double")
+    with pytest.raises(ValueError):
+        bars_from_bars(bars, period, source=source)

@@ -88,18 +88,63 @@ def test_file_locations(spark, root):
         reader(transport="file", path="s3a://bucket/root")
 
 
-def test_one_task_per_file_and_batching(spark, root):
+def test_files_are_dealt_to_tasks_and_batched(spark, root):
     series = [("IBM",), ("A/B",)]
-    one = read_responses(spark, SPEC, series, transport="file", path=root)
-    assert one.rdd.getNumPartitions() == 3
-    two = read_responses(spark, SPEC, series, transport="file", path=root, requestsPerTask="2")
-    assert two.rdd.getNumPartitions() == 2 and two.count() == 3
+    one = read_responses(spark, SPEC, series, transport="file", path=root, filesSplit="2")
+    assert one.rdd.getNumPartitions() == 4 and one.count() == 3
+    two = read_responses(spark, SPEC, series, transport="file", path=root, filesSplit="1", requestsPerTask="2")
+    assert two.rdd.getNumPartitions() == 1 and two.count() == 3
+
+
+def test_every_landed_series(spark, root):
+    found = read_symbols(spark, SPEC, None, transport="file", path=root)
+    assert {r.symbol for r in found.bars.collect()} == {"IBM", "A/B"}
+    assert [r.symbol for r in found.errors.collect()] == ["NOTE"]
+    pairs = read_pairs(spark, RequestSpec("FX_DAILY", "UTC"), None, transport="file", path=root)
+    assert {(r.from_symbol, r.to_symbol) for r in pairs.bars.collect()} == {("EUR", "USD"), ("EUR", "GBP")}
+
+
+def test_symbols_may_hold_commas(spark, tmp_path):
+    land(tmp_path, DAILY, {"symbol": "A,B"}, {"1.csv": BODY})
+    found = read_symbols(spark, SPEC, ["A,B"], transport="file", path=str(tmp_path))
+    assert {r.symbol for r in found.bars.collect()} == {"A,B"} and found.errors.count() == 0
+
+
+def test_no_slice_is_refused():
+    with pytest.raises(ValueError):
+        reader(method=EXTENDED, interval="1min", slices="")
+
+
+def test_files_that_cannot_be_read_are_error_rows(tmp_path):
+    assert source.file_get(str(tmp_path)) == (None, "no response: Is a directory", None)
+
+    class Broken(io.BytesIO):
+        def read(self, *args):
+            raise IncompleteRead(b"")
+
+    def opener(request, timeout):
+        raise HTTPError("http://host", 500, "Server Error", {}, Broken())
+
+    status, reason, body = source.http_get("http://host", {}, opener)
+    assert (status, body) == (None, None) and reason.startswith("no response")
+
+
+def test_landed_files_follow_the_data_not_the_tasks(spark):
+    """A range of keys and time is one task's, whatever the number of tasks before it."""
+    import os
+
+    from tickloom.plans.tables import landed
+
+    root = landed(spark, "/root/testdata/sf0.001", DAILY)
+    files = [f for _, _, names in os.walk(root.removeprefix("file:")) for f in names if f.startswith("part")]
+    assert len(files) <= 3 + int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_key_filters_drop_requests(spark, root):
     every = read_responses(spark, SPEC, [("IBM",), ("A/B",), ("NOTE",)], transport="file", path=root)
-    assert every.filter("symbol = 'NOTE'").rdd.getNumPartitions() == 1
-    assert every.filter("symbol in ('NOTE', 'A/B')").rdd.getNumPartitions() == 2
+    split = reader().files_split
+    assert every.filter("symbol = 'NOTE'").rdd.getNumPartitions() == split
+    assert every.filter("symbol in ('NOTE', 'A/B')").rdd.getNumPartitions() == 2 * split
     assert [r.symbol for r in every.filter("symbol = 'NOTE' and status = 200").collect()] == ["NOTE"]
     assert every.filter("symbol = 'NONE'").count() == 0
 

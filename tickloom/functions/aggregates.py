@@ -9,15 +9,17 @@ from pyspark.sql import Column, functions as F
 _FIRST, _LAST = "_first", "_last"
 
 
-def ends(order: Sequence[str], first: str, last: Sequence[str]) -> tuple[list[Column], list[Column]]:
+def ends(
+    order: Sequence[str], first: str, last: Sequence[str], *, unique: bool = False
+) -> tuple[list[Column], list[Column]]:
     """Value of ``first`` in the first row and of ``last`` in the last row by ``order``.
 
-    Returns the aggregates and the columns to select from their result. With one
-    order column they are ``min_by`` and ``max_by``, which aggregate by hashing. With
-    more, one minimum and one maximum of (order, values) serve all values; equal
-    orders are settled by the value, so the result never depends on task order.
+    Returns the aggregates and the columns to select from their result. One minimum and one
+    maximum of (order, values) serve all values; equal orders are settled by the value, so the
+    result never depends on task order. ``unique`` says that one order column has no repeats: then they
+    are ``min_by`` and ``max_by``, which aggregate by hashing.
     """
-    if len(order) == 1:
+    if unique and len(order) == 1:
         key = order[0]
         found = [F.min_by(first, key).alias(_FIRST)]
         found += [F.max_by(name, key).alias(f"{_LAST}{i}") for i, name in enumerate(last)]
@@ -32,5 +34,18 @@ def ends(order: Sequence[str], first: str, last: Sequence[str]) -> tuple[list[Co
 
 
 def money_sum(value: str) -> Column:
-    """Sum of amounts in decimals, so the result does not depend on task order."""
-    return F.sum(F.col(value).cast("decimal(24,8)")).cast("double")
+    """Sum of amounts in decimals of 16 places, so the result does not depend on task order.
+
+    An infinite amount or a NaN makes the sum what it is for doubles.
+    """
+    amount = F.col(value).cast("double")
+    odd = F.max(F.isnan(amount) | (F.abs(amount) == float("inf")))
+    exact = F.sum(amount.try_cast("decimal(38,16)")).cast("double")
+    return F.when(odd, F.sum(amount)).otherwise(exact)
+
+
+def volume_sum(value: Column, kind: str) -> Column:
+    """Whole total of volumes. Fractions are summed exactly, and the total is rounded once, half up."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.sum(value.cast("bigint"))
+    return F.round(F.sum(value.try_cast("decimal(38,16)")), 0).cast("bigint")

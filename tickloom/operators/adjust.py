@@ -27,26 +27,35 @@ def _check_daily(daily: DataFrame) -> None:
         raise ValueError("daily bars have a date as ts")
 
 
-def with_factor(daily: DataFrame, *, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Add ``factor`` to daily bars with ``dividend_amount`` and ``split_coefficient``.
-
-    Daily bars have one row per (keys, date), so a series is bounded by the
-    calendar (about 250 rows a year) whatever its number of trades. Both windows
-    run over falling dates: one sort, and a product Spark keeps as a running value.
-    """
+def _factors(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Daily bars with ``factor``, for prices of the date, and ``_before``, for those of the days just before."""
     _check_daily(daily)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("ts"))
     later = newest_first.rowsBetween(Window.unboundedPreceding, -1)
     previous = F.lead("close").over(newest_first)
+    repeated = F.lead("ts").over(newest_first) == F.col("ts")
+    refused = F.raise_error(F.concat(F.lit("two daily bars of one series on "), F.col("ts").cast("string")))
     paid = F.coalesce(F.try_divide("dividend_amount", previous), F.lit(0.0))
     split = F.coalesce(F.nullif("split_coefficient", F.lit(0.0)), F.lit(1.0))
+    step = F.when(repeated, refused.cast("double")).otherwise((1 - paid) / split)
     return (
-        daily.withColumn("_step", (1 - paid) / split)
+        daily.withColumn("_step", step)
         .withColumn("factor", F.coalesce(F.product("_step").over(later), F.lit(1.0)))
+        .withColumn("_before", F.col("factor") * F.col("_step"))
         .drop("_step")
     )
 
 
+def with_factor(daily: DataFrame, *, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Add ``factor`` to daily bars with ``dividend_amount`` and ``split_coefficient``.
+
+    Daily bars have one row per (keys, date), so a series is bounded by the
+    calendar (about 250 rows a year) whatever its number of trades; a repeated date stops the query. Both windows
+    run over falling dates: one sort, and a product Spark keeps as a running value.
+    """
+    return _factors(daily, keys).drop("_before")
+
+
 def with_adj_close(daily: DataFrame, *, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Daily adjusted bars: raw prices plus ``adj_close``."""
     factored = with_factor(daily, keys=keys)
@@ -91,18 +100,26 @@ def daily_with_events(
 def adjust_intraday(
     bars: DataFrame, daily: DataFrame, *, keys: Sequence[str] = ("symbol",)
 ) -> DataFrame:
-    """Intraday bars with prices adjusted by their date's factor.
+    """Intraday bars with prices adjusted by the factor as of their date.
 
-    ``daily`` is the daily series with its events. Bars of a date without a daily
-    row keep their prices.
+    ``daily`` is the daily series with its events. A date without a daily row has the factor of
+    the next daily row and that row's own events, as they come after it; past the last row prices stay. Keys may be
+    NULL. The dates of a series are bounded by the calendar, so its window is too.
     """
-    factors = with_factor(daily, keys=keys).select(
-        *keys, F.col("ts").alias("_date"), "factor"
-    )
-    joined = bars.withColumn("_date", F.col("ts").cast("date")).join(
-        factors, [*keys, "_date"], "left"
-    )
-    factor = F.coalesce("factor", F.lit(1.0))
+    names = [f"_k{i}" for i in range(len(keys))]
+    renamed = [F.col(key).alias(name) for key, name in zip(keys, names)]
+    known = _factors(daily, keys).select(*renamed, F.col("ts").alias("_date"), "factor", "_before")
+    dates = bars.select(*renamed, F.col("ts").cast("date").alias("_date")).distinct()
+    both = known.unionByName(dates, allowMissingColumns=True).groupBy(*names, "_date").agg(
+        F.max("factor").alias("factor"), F.max("_before").alias("_before"))
+    later = Window.partitionBy(*names).orderBy(F.desc("_date")).rowsBetween(Window.unboundedPreceding, -1)
+    next_row = F.last("_before", ignorenulls=True).over(later)
+    factors = both.select(*names, "_date", F.coalesce("factor", next_row, F.lit(1.0)).alias("_factor"))
+    same = F.col("ts").cast("date").eqNullSafe(F.col("_date"))
+    for key, name in zip(keys, names):
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    joined = bars.join(factors, same, "left")
+    factor = F.coalesce("_factor", F.lit(1.0))
     return joined.withColumns({name: F.col(name) * factor for name in PRICES}).select(
         *bars.columns
     )

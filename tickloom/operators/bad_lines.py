@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import parse
 from tickloom.plans.methods import method_of
-from tickloom.sources.shared import written_once
+from tickloom.sources.shared import discard, new_path
 
 POLICIES = ("quarantine", "void_response", "fail")
 OK = 200
@@ -24,6 +24,12 @@ NO_HEADER = "no header"
 class Parsed(NamedTuple):
     bars: DataFrame  # keys and the method's columns
     errors: DataFrame  # keys, response_id, line, reason; line is NULL for a whole response
+    written: tuple[str, ...] = ()  # tables in the shared folder that both frames read
+
+    def discard(self) -> None:
+        """Delete what was written, once the frames are done with."""
+        for path in self.written:
+            discard(self.bars.sparkSession, path)
 
 
 def _check_policy(policy: str) -> None:
@@ -55,6 +61,22 @@ def _stop_on(problem: Column, response_id: Column, line: Column) -> Column:
     return F.when(problem.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
 
 
+def _first_line(position: str | None) -> list[Column]:
+    """Per response: whether its first line is a header, and how many headers it has."""
+    header = parse.is_header(F.col("line"))
+    first = F.min(F.struct(F.col(position), header.alias("header"))) if position else None
+    found = F.max(header) if first is None else first.getField("header")
+    return [found.alias("has_header"), F.count(F.when(header, 1)).alias("headers")]
+
+
+def _same_response(verdicts: DataFrame, names: list[str]) -> Column:
+    """Null-safe equality with a verdict of every column that identifies a response."""
+    same = F.lit(True)
+    for i, name in enumerate(names):
+        same = same & F.col(name).eqNullSafe(verdicts[f"_v{i}"])
+    return same
+
+
 def parse_lines(
     lines: DataFrame,
     method: str,
@@ -63,52 +85,76 @@ def parse_lines(
     keys: tuple[str, ...] = (),
     on_bad_line: str = "quarantine",
     check_header: bool = True,
+    position: str | None = None,
 ) -> Parsed:
-    """Parse a frame of (keys, response_id, line), one row per line in any order.
-
-    Header lines and blank lines are dropped. Checking headers or voiding needs a
-    verdict per response. It is one partially aggregated pass, written once with
-    a row only for each rejected response; the lines themselves are never
-    shuffled while that table is small, and a large one falls back to a shuffled
-    anti join that adaptive execution splits on hot responses. With
-    ``check_header=False`` and no voiding the parse is a single pass.
+    """Parse a frame of (keys, response_id, line[, position]), one row per line in any order.
+
+    A response is what shares keys and response_id, NULLs included. Its first line that is not blank
+    has to be a header; ``position`` orders its lines, and without it any header counts as the first line. Further
+    header lines are bad lines. Blank lines are dropped.
+
+    Checking headers or voiding needs a verdict per response, so a pass over the lines **runs when this is
+    called**. For headers alone it looks at the lines' starts and writes a row only for each response that has something wrong.
+    Voiding parses every line once into a written table that the verdict, bars and errors read.
+    ``Parsed.discard`` deletes what was written. Lines are never shuffled while the verdicts are small;
+    a large table falls back to a shuffled anti join that adaptive execution splits on hot responses. With
+    ``check_header=False`` and no voiding the parse is a single pass, and all header lines are dropped.
     """
     _check_policy(on_bad_line)
     names = method_of(method).schema.names
-    line = F.col("line")
-    data = _typed(lines.filter(parse.is_data(line)), (*keys, "response_id"), method, zone)
+    identity = [*keys, "response_id"]
+    spark = lines.sparkSession
+    voiding = on_bad_line == "void_response"
+    checked = check_header or voiding
+    written: list[str] = []
+
+    def once(df: DataFrame, name: str) -> DataFrame:
+        written.append(new_path(spark, name))
+        df.write.parquet(written[-1])
+        return spark.read.schema(df.schema).parquet(written[-1])
+
+    filled = lines.filter(parse.is_filled(F.col("line")))
+    passed = (*identity, position) if position else tuple(identity)
+    if voiding:
+        typed = once(_typed(filled, passed, method, zone), "parsed-lines")
+        data = typed.filter(~parse.is_header(F.col("line")))
+        source, bad_line = typed, ~parse.is_header(F.col("line")) & F.col("_bad").isNotNull()
+    else:
+        data = _typed(lines.filter(parse.is_data(F.col("line"))), tuple(identity), method, zone)
+        source, bad_line = filled, F.lit(False)
     good, bad = data.filter(F.col("_bad").isNull()), data.filter(F.col("_bad").isNotNull())
-    errors = bad.select(*keys, "response_id", "line", F.col("_bad").alias("reason"))
+    errors = bad.select(*identity, "line", F.col("_bad").alias("reason"))
 
-    voiding = on_bad_line == "void_response"
-    if check_header or voiding:
-        bad_line = parse.is_bad_line(line, method, zone) if voiding else F.lit(False)
-        verdicts = lines.filter(parse.is_filled(line)).groupBy(*keys, "response_id").agg(
-            F.max(parse.is_header(line)).alias("has_header"),
-            F.max(parse.is_data(line) & bad_line).alias("has_bad"),
-        )
+    if checked:
+        verdicts = source.groupBy(*identity).agg(*_first_line(position), F.max(bad_line).alias("has_bad"))
         headless = ~F.col("has_header") if check_header else F.lit(False)
-        rejected = headless | F.col("has_bad") if voiding else headless
-        verdicts = verdicts.filter(rejected).select(
-            *keys, "response_id", headless.alias("headless")
-        )
-        verdicts = written_once(verdicts, "rejected-responses")
+        repeated = F.greatest(F.col("headers") - F.col("has_header").cast("int"), F.lit(0)) if check_header else F.lit(0)
+        verdicts = verdicts.select(
+            *(F.col(name).alias(f"_v{i}") for i, name in enumerate(identity)),
+            headless.alias("headless"), repeated.cast("bigint").alias("repeated"), "has_bad",
+        ).filter("headless OR repeated > 0 OR has_bad")
+        verdicts = once(verdicts, "verdicts")
         without_header = verdicts.filter("headless")
         if on_bad_line == "fail":
-            first = without_header.head()
+            first = verdicts.head()
             if first is not None:
-                raise ValueError(f"{first['response_id']}: {NO_HEADER}")
-        good = good.join(verdicts.select("response_id"), "response_id", "left_anti")
-        errors = errors.join(without_header.select("response_id"), "response_id", "left_anti").select(
-            *keys, "response_id", "line", "reason"
-        ).unionByName(without_header.select(
-            *keys, "response_id",
-            F.lit(None).cast("string").alias("line"),
-            F.lit(NO_HEADER).alias("reason"),
+                raise ValueError(f"{first[f'_v{len(keys)}']}: {NO_HEADER if first['headless'] else 'repeated header'}")
+        rejected = verdicts if voiding else without_header
+        good = good.join(rejected, _same_response(rejected, identity), "left_anti")
+        errors = errors.join(without_header, _same_response(without_header, identity), "left_anti")
+        named = [F.col(f"_v{i}").alias(name) for i, name in enumerate(identity)]
+        errors = errors.unionByName(without_header.select(
+            *named, F.lit(None).cast("string").alias("line"), F.lit(NO_HEADER).alias("reason"),
         ))
+        # Few responses repeat their header. Which of equal lines is the first does not matter to the error rows.
+        again = verdicts.filter("repeated > 0 AND NOT headless")
+        heads = source.filter(parse.is_header(F.col("line"))).join(again, _same_response(again, identity))
+        order = Window.partitionBy(*identity).orderBy(position or "line")
+        heads = heads.withColumn("_number", F.row_number().over(order)).filter("_number > 1")
+        errors = errors.unionByName(heads.select(*identity, "line", F.lit("bad timestamp").alias("reason")))
     if on_bad_line == "fail":
         good = data.filter(_stop_on(F.col("_bad"), F.col("response_id"), F.col("line")))
-    return Parsed(good.select(*keys, *names), errors)
+    return Parsed(good.select(*keys, *names), errors, tuple(written))
 
 
 def response_lines(responses: DataFrame, *, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -18,9 +18,9 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.aggregates import ends, money_sum
+from tickloom.functions.aggregates import ends, money_sum, volume_sum
 from tickloom.functions.calendar import (
-    bucket_start, check_local, check_period, local_literal, period_end,
+    bucket_start, check_local, check_period, local_literal, minutes_of, period_end,
 )
 from tickloom.plans.methods import INTERVALS
 
@@ -36,19 +36,21 @@ def bar_aggregates(
     low: str,
     close: str,
     tie_break: Sequence[str] = (),
+    unique_ts: bool = False,
     adj_close: str | None = None,
     volume: str | None = None,
+    volume_kind: str = "bigint",
     dividend: str | None = None,
 ) -> tuple[list[Column], list[Column]]:
     """Aggregates of one bar, and the bar's columns in terms of them."""
     last = [close, adj_close] if adj_close else [close]
-    found, (first_value, *last_values) = ends((ts, *tie_break), open, last)
+    found, (first_value, *last_values) = ends((ts, *tie_break), open, last, unique=unique_ts)
     found += [F.max(high).alias("high"), F.min(low).alias("low")]
     shape = [first_value.alias("open"), F.col("high"), F.col("low"), last_values[0].alias("close")]
     if adj_close:
         shape.append(last_values[1].alias("adj_close"))
     if volume:
-        found.append(F.sum(F.col(volume).cast("bigint")).alias("volume"))
+        found.append(volume_sum(F.col(volume), volume_kind).alias("volume"))
         shape.append(F.col("volume"))
     if dividend:
         found.append(money_sum(dividend).alias("dividend_amount"))
@@ -57,7 +59,9 @@ def bar_aggregates(
 
 
 def _bars(df: DataFrame, period: str, keys: Sequence[str], ts: str, **columns) -> DataFrame:
-    found, shape = bar_aggregates(ts=ts, **columns)
+    volume = columns.get("volume")
+    kind = df.schema[volume].dataType.simpleString() if volume else "bigint"
+    found, shape = bar_aggregates(ts=ts, volume_kind=kind, **columns)
     bucketed = df.withColumn(_BUCKET, bucket_start(F.col(ts), period))
     # The bucket first: where rows are sorted for grouping, most comparisons end there.
     barred = bucketed.groupBy(_BUCKET, *keys).agg(
@@ -81,36 +85,54 @@ def bars_from_ticks(
     ts: str = "ts",
     price: str = "price",
     tie_break: Sequence[str] = (),
+    unique_ts: bool = False,
     volume: str | None = None,
     adj_close: str | None = None,
     dividend: str | None = None,
 ) -> DataFrame:
     """Bars of ``period`` from one row per trade.
 
-    ``tie_break`` orders trades of equal ``ts``; without it ``ts`` is unique within a
-    series.
+    ``tie_break`` orders trades of equal ``ts``; what it leaves equal is settled by price, the lowest
+    first, so bars never depend on the order of rows. ``unique_ts`` promises that no series has two trades of one
+    ``ts`` and aggregates by hashing.
     """
+    if unique_ts and tie_break:
+        raise ValueError("unique times need no tie_break")
     check_period(period)
     return _bars(
         trades_of(ticks, ts, price), period, keys, ts,
-        open=price, high=price, low=price, close=price, tie_break=tie_break,
+        open=price, high=price, low=price, close=price, tie_break=tie_break, unique_ts=unique_ts,
         adj_close=adj_close, volume=volume, dividend=dividend,
     )
 
 
+def check_roll_up(source: str, period: str) -> None:
+    """Bars of ``source`` must each lie in one bar of ``period``; weeks do not divide months."""
+    check_period(source)
+    check_period(period)
+    if source in INTERVALS and period in INTERVALS:
+        divides = minutes_of(period) % minutes_of(source) == 0 and source != period
+    elif source in INTERVALS:
+        divides = True
+    else:
+        divides = source == "day" and period in ("week", "month")
+    if not divides:
+        raise ValueError(f"{source} bars do not make up {period} bars")
+
+
 def bars_from_bars(
-    bars: DataFrame, period: str, *, keys: Sequence[str] = ("symbol",)
+    bars: DataFrame, period: str, *, source: str, keys: Sequence[str] = ("symbol",)
 ) -> DataFrame:
-    """Longer bars from shorter ones; ``ts`` is unique within a series.
+    """Longer bars from bars of the period ``source``; ``ts`` is unique within a series.
 
     The adjusted close is the last of the period and the dividend its sum.
     """
-    check_period(period)
+    check_roll_up(source, period)
     check_local(bars, "ts")
     optional = {"adj_close": "adj_close", "volume": "volume", "dividend": "dividend_amount"}
     given = {name: column for name, column in optional.items() if column in bars.columns}
     return _bars(
-        bars, period, keys, "ts", open="open", high="high", low="low", close="close", **given
+        bars, period, keys, "ts", open="open", high="high", low="low", close="close", unique_ts=True, **given
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.operators.bad_lines import Parsed, parse_lines, parse_responses
 from tickloom.plans.methods import RequestSpec, method_of
 from tickloom.sources.landing import landed_lines, partition_names
-from tickloom.sources.responses import FORMAT, register
+from tickloom.sources.responses import ALL, FORMAT, register
 from tickloom.sources.shared import written_once
 
 
@@ -28,12 +29,12 @@ def request_options(spec: RequestSpec) -> dict[str, str]:
 def read_responses(
     spark: SparkSession,
     spec: RequestSpec,
-    series: Sequence[tuple[str, ...]],
+    series: Sequence[tuple[str, ...]] | None,
     *,
     written: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Raw responses of many series, one request each.
+    """Raw responses of many series, one request each; None means every landed series (``file`` transport).
 
     ``written=True`` sends the requests now, once, and keeps the responses in the
     shared folder, so that later branches and retries do not repeat them.
@@ -43,7 +44,7 @@ def read_responses(
     responses = (
         spark.read.format(FORMAT)
         .options(**request_options(spec))
-        .option(name, ",".join("/".join(one) for one in series))
+        .option(name, ALL if series is None else json.dumps(["/".join(one) for one in series]))
         .options(**options)
         .load()
     )
@@ -61,27 +62,28 @@ def _read_many(spark, spec, series, on_bad_line, options) -> Parsed:
 def read_symbols(
     spark: SparkSession,
     spec: RequestSpec,
-    symbols: Sequence[str],
+    symbols: Sequence[str] | None,
     *,
     on_bad_line: str = "quarantine",
     **options: str,
 ) -> Parsed:
     """Many equity series: bars and errors, both with a ``symbol`` column."""
     method_of(spec.method, "equity")
-    return _read_many(spark, spec, [(s,) for s in symbols], on_bad_line, options)
+    series = None if symbols is None else [(s,) for s in symbols]
+    return _read_many(spark, spec, series, on_bad_line, options)
 
 
 def read_pairs(
     spark: SparkSession,
     spec: RequestSpec,
-    pairs: Sequence[tuple[str, str]],
+    pairs: Sequence[tuple[str, str]] | None,
     *,
     on_bad_line: str = "quarantine",
     **options: str,
 ) -> Parsed:
     """Many currency pairs: bars and errors, both with the two key columns."""
     method_of(spec.method, "fx")
-    return _read_many(spark, spec, list(pairs), on_bad_line, options)
+    return _read_many(spark, spec, None if pairs is None else list(pairs), on_bad_line, options)
 
 
 def _read_one(spark, spec, series, on_bad_line, options) -> DataFrame:
@@ -121,5 +123,5 @@ def read_landing(
     """Landed response files of one method; see ``tickloom.sources.landing`` for the layout."""
     return parse_lines(
         landed_lines(spark, root, method), method, zone=zone, keys=partition_names(method),
-        on_bad_line=on_bad_line, check_header=check_header,
+        on_bad_line=on_bad_line, check_header=check_header, position="position",
     )

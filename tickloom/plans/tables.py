@@ -17,8 +17,9 @@ from tickloom.operators.bad_lines import Parsed, parse_lines, parse_responses
 from tickloom.operators.bodies import Bodies, json_bodies, text_bodies
 from tickloom.operators.resample import bars_from_bars, bars_from_ticks, with_partial_flag
 from tickloom.operators.select import in_slice, latest_points, with_slice
+from tickloom.plans.local import series_from_ticks
 from tickloom.plans.methods import INTERVALS, METHODS, RequestSpec, method_of
-from tickloom.plans.read import read_landing, read_symbols
+from tickloom.plans.read import read_forex, read_landing, read_pairs, read_symbols
 from tickloom.plans.series import as_bars, as_series, csv_columns, csv_header, csv_line
 from tickloom.sources.shared import new_path, written_once
 
@@ -27,7 +28,6 @@ NEW_YORK = "America/New_York"
 SYMBOL = ("symbol",)
 PAIR = ("from_symbol", "to_symbol")
 LINEITEM_ORDER = ("orderkey", "linenumber", "partkey", "suppkey", "price")
-RECORDS_PER_FILE = 5000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,8 +84,8 @@ def event_bars(spark, sf_dir, period, keys=SYMBOL, volume=None) -> DataFrame:
 
 
 def last_date(df: DataFrame) -> date:
-    """The newest date of ``ts``: one aggregated row."""
-    return df.agg(F.max(F.col("ts").cast("date"))).head()[0]
+    """The newest date of ``ts``, one aggregated row; the epoch's for an empty frame."""
+    return df.agg(F.max(F.col("ts").cast("date"))).head()[0] or date(1970, 1, 1)
 
 
 def event_days(daily: DataFrame, dividend_day: int, dividend: float, split_when: Column) -> DataFrame:
@@ -98,21 +98,55 @@ def event_days(daily: DataFrame, dividend_day: int, dividend: float, split_when:
     )
 
 
+def lineitem_events(daily: DataFrame) -> DataFrame:
+    return event_days(daily, 15, 250.0, (F.month("ts") == 6) & (F.dayofmonth("ts") == 10))
+
+
 def lineitem_adjusted_daily(spark, sf_dir) -> DataFrame:
-    daily = lineitem_bars(spark, sf_dir, "day")
-    events = event_days(daily, 15, 250.0, (F.month("ts") == 6) & (F.dayofmonth("ts") == 10))
-    adjusted = with_adj_close(daily_with_events(daily, events))
+    # A row per symbol and day, written once: the events and the bars both come from it.
+    daily = written_once(lineitem_bars(spark, sf_dir, "day"), "daily")
+    adjusted = with_adj_close(daily_with_events(daily, lineitem_events(daily)))
     return adjusted.withColumn("adj_close", F.round("adj_close", 4))
 
 
-def adjusted_intraday(spark, sf_dir) -> DataFrame:
-    hourly, daily = event_bars(spark, sf_dir, "60min"), event_bars(spark, sf_dir, "day")
-    events = event_days(daily, 15, 1.5, F.dayofmonth("ts") == 20)
-    adjusted = adjust_intraday(hourly, daily_with_events(daily, events))
+def intraday_events(daily: DataFrame) -> DataFrame:
+    return event_days(daily, 15, 1.5, F.dayofmonth("ts") == 20)
+
+
+def adjusted_intraday(spark, sf_dir, has_daily_row: Column | None = None) -> DataFrame:
+    """Hourly bars adjusted by daily ones made from them; some days may lack their daily row."""
+    hourly = written_once(event_bars(spark, sf_dir, "60min"), "hourly")
+    daily = bars_from_bars(hourly, "day", source="60min")
+    kept = daily if has_daily_row is None else daily.filter(has_daily_row)
+    adjusted = adjust_intraday(hourly, daily_with_events(kept, intraday_events(daily)))
     rounded = {name: F.round(name, 4) for name in ("open", "high", "low", "close")}
     return as_series(adjusted.withColumns(rounded), "FX_INTRADAY", zone=ZONE, keys=SYMBOL)
 
 
+def tied_intraday(spark, sf_dir) -> DataFrame:
+    """Times cut to the minute and no tie-break: prices settle the many ties."""
+    minute = F.make_timestamp_ntz(
+        F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"), F.minute("ts"), F.lit(0))
+    return bars_from_ticks(event_ticks(spark, sf_dir).withColumn("ts", minute), "5min")
+
+
+def served(method: str, **request) -> Query:
+    """A method's series from local trades, adjusted by made-up events."""
+    spec = RequestSpec(method, zone=ZONE, **request)
+    intraday = method_of(method).intraday
+
+    def query(spark, sf_dir):
+        ticks = event_ticks(spark, sf_dir) if intraday else lineitem_ticks(spark, sf_dir)
+        order = ("event_id",) if intraday else LINEITEM_ORDER
+        daily = bars_from_ticks(ticks, "day", tie_break=order)
+        events = intraday_events(daily) if intraday else lineitem_events(daily)
+        series = series_from_ticks(ticks, spec, as_of=last_date(ticks), events=events, tie_break=order)
+        rounded = [n for n in series.columns if n in ("open", "high", "low", "close", "adj_close")]
+        return series.withColumns({name: F.round(name, 4) for name in rounded})
+
+    return query
+
+
 # Bars as CSV, read back
 
 
@@ -132,11 +166,7 @@ def method_bars(spark, sf_dir, method: str) -> tuple[DataFrame, tuple[str, ...]]
 
 
 def with_header_lines(lines: DataFrame, header: Column, keys: Sequence[str]) -> DataFrame:
-    """Add one header line to every response.
-
-    The lines are written first: they are read for the headers, the verdict and the bars.
-    """
-    lines = written_once(lines, "lines")
+    """Add one header line to every response."""
     heads = lines.select(*keys, "response_id").distinct().withColumn("line", header)
     return lines.unionByName(heads)
 
@@ -189,6 +219,46 @@ def parsed_error_bodies(spark, sf_dir) -> Parsed:
     return parse_lines(lines, "TIME_SERIES_DAILY", zone=ZONE, keys=SYMBOL)
 
 
+def positioned_lines(spark, sf_dir) -> DataFrame:
+    """Daily bars as responses of a symbol and month whose lines have a place; the header is at 0."""
+    daily = lineitem_bars(spark, sf_dir, "day")
+    lines = daily.select(
+        "symbol", F.date_format("ts", "yyyy-MM").alias("response_id"),
+        csv_line("TIME_SERIES_DAILY").alias("line"), F.dayofmonth("ts").alias("position"))
+    return lines.unionByName(extra_lines(lines, F.lit(csv_header("TIME_SERIES_DAILY")), 0))
+
+
+def extra_lines(lines: DataFrame, line: Column, position: int) -> DataFrame:
+    """One more line for every response."""
+    return lines.select("symbol", "response_id").distinct().select(
+        "symbol", "response_id", line.alias("line"), F.lit(position).alias("position"))
+
+
+def parsed_positions(lines: DataFrame, policy: str = "quarantine") -> Parsed:
+    return parse_lines(
+        lines, "TIME_SERIES_DAILY", zone=ZONE, keys=SYMBOL, on_bad_line=policy, position="position")
+
+
+def void_shared_ids(spark, sf_dir) -> DataFrame:
+    """Response ids are months, the same for all symbols; only R's 31st cannot be read."""
+    broken = (F.col("symbol") == "R") & (F.col("position") == 31)
+    line = F.when(broken, F.concat("line", F.lit("x"))).otherwise(F.col("line"))
+    return parsed_positions(positioned_lines(spark, sf_dir).withColumn("line", line), "void_response").bars
+
+
+def header_first_line(spark, sf_dir) -> DataFrame:
+    """A note before the header in February: those responses have no header."""
+    lines = positioned_lines(spark, sf_dir)
+    february = lines.filter(F.col("response_id").endswith("-02"))
+    return parsed_positions(lines.unionByName(extra_lines(february, F.lit("note"), -1))).bars
+
+
+def header_repeated(spark, sf_dir) -> Parsed:
+    """Every response ends with its header again."""
+    lines = positioned_lines(spark, sf_dir)
+    return parsed_positions(lines.unionByName(extra_lines(lines, F.lit(csv_header("TIME_SERIES_DAILY")), 99)))
+
+
 def parsed_trades(spark, sf_dir, policy: str) -> Parsed:
     """Every trade as a line of its own, one response per supplier and month.
 
@@ -237,14 +307,18 @@ def error_counts(errors: DataFrame) -> DataFrame:
 
 
 def landed(spark, sf_dir, method: str) -> str:
-    """Land a method's bars as response files in a fresh shared folder; returns its root."""
+    """Land a method's bars as response files in a fresh shared folder; returns its root.
+
+    Ranges of (keys, time) are dealt to tasks, so the number of files follows the data, not tasks times
+    series, and a series with most bars is split.
+    """
     bars, keys = method_bars(spark, sf_dir, method)
     root = new_path(spark, "landing")
     (
-        bars.select(*keys, *csv_columns(method))
+        bars.repartitionByRange(*keys, "ts")
+        .select(*keys, *csv_columns(method))
         .write.partitionBy(*keys)
         .option("header", True)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .csv(f"{root}/{method}")
     )
     return root
@@ -257,12 +331,27 @@ def landing_files(spark, sf_dir) -> DataFrame:
 
 
 def source_file(spark, sf_dir) -> DataFrame:
-    """The same files read by the data source, one task per file."""
+    """The same files read by the data source, one task per series."""
     root = landed(spark, sf_dir, "TIME_SERIES_DAILY")
-    ticks = lineitem_ticks(spark, sf_dir)
-    symbols = [row.symbol for row in ticks.select("symbol").distinct().collect()]
     spec = RequestSpec("TIME_SERIES_DAILY", zone=ZONE)
-    return read_symbols(spark, spec, symbols, transport="file", path=root).bars
+    return read_symbols(spark, spec, None, transport="file", path=root).bars
+
+
+def source_file_fx(spark, sf_dir) -> DataFrame:
+    root = landed(spark, sf_dir, "FX_DAILY")
+    return read_pairs(spark, RequestSpec("FX_DAILY", zone=ZONE), None, transport="file", path=root).bars
+
+
+def source_file_forex(spark, sf_dir) -> DataFrame:
+    """One pair, in exactly the method's columns."""
+    root = landed(spark, sf_dir, "FX_DAILY")
+    return read_forex(spark, RequestSpec("FX_DAILY", zone=ZONE), "N", "O", transport="file", path=root)
+
+
+def source_file_slices(spark, sf_dir) -> DataFrame:
+    root = landed(spark, sf_dir, "TIME_SERIES_INTRADAY_EXTENDED")
+    spec = RequestSpec("TIME_SERIES_INTRADAY_EXTENDED", zone=ZONE, interval="60min")
+    return read_symbols(spark, spec, None, transport="file", path=root, slices="all").bars
 
 
 # Bodies
@@ -298,6 +387,17 @@ def event_json(spark, sf_dir, schema=None) -> Bodies:
     )
 
 
+def misfit_json(spark, sf_dir) -> Bodies:
+    """Event properties of which some hold another type than the schema, or no object."""
+    body = F.when(F.col("event_id") % 5 == 0, '{"k":"x"}').when(F.col("event_id") % 7 == 0, "[1,2]").otherwise(
+        F.col("props"))
+    return json_bodies(
+        table(spark, sf_dir, "events").select(
+            F.col("event_id").alias("response_id"), F.lit(200).alias("status"), F.lit("OK").alias("reason"),
+            body.alias("body")),
+        schema="k bigint")
+
+
 # The queries
 
 
@@ -336,6 +436,19 @@ def partial_query(period: str, method: str) -> Query:
     return query
 
 
+def parsed_new_york_dst(spark, sf_dir) -> DataFrame:
+    """Hourly bars spread over a year, so both clock changes lie in it, as New York lines parsed back."""
+    spread = F.expr("ts + make_dt_interval(int(event_id % 12) * 30)")
+    ticks = event_ticks(spark, sf_dir).withColumn("ts", spread)
+    bars = bars_from_ticks(ticks, "60min", tie_break=("event_id",), volume="volume")
+    # Local hours that a clock change skips or repeats have no single instant.
+    bars = bars.filter(~((F.hour("ts").isin(1, 2)) & F.month("ts").isin(3, 11)))
+    lines = bars.select("symbol", F.col("symbol").alias("response_id"), csv_line("TIME_SERIES_INTRADAY").alias("line"))
+    return parse_lines(
+        with_header_lines(lines, F.lit(csv_header("TIME_SERIES_INTRADAY")), SYMBOL), "TIME_SERIES_INTRADAY",
+        zone=NEW_YORK, keys=SYMBOL).bars
+
+
 def zone_round_trip(spark, sf_dir) -> DataFrame:
     """A New York series turned back into exchange-local bars."""
     bars = event_bars(spark, sf_dir, "30min", volume="volume")
@@ -370,15 +483,21 @@ def build_queries() -> dict[str, Query]:
             f"TIME_SERIES_{name.upper()}_ADJUSTED",
         )
         found[f"{name}_from_daily"] = _series(
-            lambda s, d, p=period: bars_from_bars(lineitem_bars(s, d, "day"), p),
+            lambda s, d, p=period: bars_from_bars(lineitem_bars(s, d, "day"), p, source="day"),
             f"TIME_SERIES_{name.upper()}",
         )
         found[f"partial_{name}"] = partial_query(period, f"TIME_SERIES_{name.upper()}")
     found["hourly_from_5min"] = _series(
-        lambda s, d: bars_from_bars(event_bars(s, d, "5min"), "60min"), "FX_INTRADAY"
+        lambda s, d: bars_from_bars(event_bars(s, d, "5min"), "60min", source="5min"), "FX_INTRADAY"
     )
     found["daily_adj"] = _series(lineitem_adjusted_daily, "TIME_SERIES_DAILY_ADJUSTED")
     found["intraday_adj"] = adjusted_intraday
+    found["intraday_adj_gaps"] = lambda s, d: adjusted_intraday(s, d, F.dayofmonth("ts") % 3 != 0)
+    found["intraday_5min_ties"] = _series(tied_intraday, "FX_INTRADAY")
+    found["served_intraday_adj_compact"] = served("TIME_SERIES_INTRADAY", interval="60min", adjusted=True)
+    found["served_extended_slice_adj"] = served("TIME_SERIES_INTRADAY_EXTENDED", interval="30min", adjusted=True)
+    found["served_weekly_adj"] = served("TIME_SERIES_WEEKLY_ADJUSTED", output_size="full")
+    found["served_monthly_adj"] = served("TIME_SERIES_MONTHLY_ADJUSTED", output_size="full")
     for name in ("year1month1", "year1month2", "year2month12"):
         found[f"slice_{name}"] = slice_query(name)
     found["slices_all"] = all_slices
@@ -391,6 +510,7 @@ def build_queries() -> dict[str, Query]:
     for method in METHODS:
         found[f"parse_{method.lower()}"] = parsed_method(method)
     found["parse_new_york"] = parsed_method("TIME_SERIES_INTRADAY", NEW_YORK)
+    found["parse_new_york_dst"] = parsed_new_york_dst
     found["zone_round_trip"] = zone_round_trip
     found["bad_lines_quarantine"] = lambda s, d: parsed_monthly(s, d, "quarantine").bars
     found["bad_lines_void"] = lambda s, d: parsed_monthly(s, d, "void_response").bars
@@ -400,6 +520,10 @@ def build_queries() -> dict[str, Query]:
     found["trades_errors"] = lambda s, d: error_counts(parsed_trades(s, d, "quarantine").errors)
     found["header_check"] = lambda s, d: parsed_error_bodies(s, d).bars
     found["header_check_errors"] = lambda s, d: error_counts(parsed_error_bodies(s, d).errors)
+    found["void_shared_ids"] = void_shared_ids
+    found["header_first_line"] = header_first_line
+    found["header_repeated"] = lambda s, d: header_repeated(s, d).bars
+    found["header_repeated_errors"] = lambda s, d: error_counts(header_repeated(s, d).errors)
     found["responses_quarantine"] = lambda s, d: parsed_responses(s, d, "quarantine").bars
     found["responses_void"] = lambda s, d: parsed_responses(s, d, "void_response").bars
     found["responses_errors"] = lambda s, d: error_counts(parsed_responses(s, d, "quarantine").errors)
@@ -414,4 +538,9 @@ def build_queries() -> dict[str, Query]:
     found["json_body_errors"] = lambda s, d: event_json(s, d).errors
     found["landing_files"] = landing_files
     found["source_file"] = source_file
+    found["source_file_fx"] = source_file_fx
+    found["source_file_forex"] = source_file_forex
+    found["source_file_slices"] = source_file_slices
+    found["json_body_misfit"] = lambda s, d: misfit_json(s, d).bodies.select("response_id", F.col("json.k").alias("k"))
+    found["json_body_misfit_errors"] = lambda s, d: misfit_json(s, d).errors
     return found

@@ -97,6 +97,38 @@ INTRADAY_ADJ = f"""
     FROM hourly h JOIN factors f ON f.symbol = h.symbol AND f.ts = date_trunc('day', h.ts)''')}"""
 
 
+PRICES_OF = "symbol, \"timestamp\", open, high, low, close"
+
+
+def intraday_adjusted(minutes: int, kept_day: str = "TRUE") -> str:
+    """Bars of some minutes by the rule itself: the product over later event days of daily bars that are kept."""
+    return f"""
+  WITH d AS (
+    SELECT event_type AS symbol, date_trunc('day', ts) AS day, last(value ORDER BY ts, event_id) AS close
+    FROM events GROUP BY event_type, date_trunc('day', ts)),
+  kept AS (SELECT * FROM d WHERE {kept_day}),
+  acts AS (
+    SELECT symbol, day AS act, CASE WHEN day(day) = 15 THEN 1.5e0 ELSE 0e0 END AS paid,
+      CASE WHEN day(day) = 20 THEN 2e0 ELSE 1e0 END AS split
+    FROM d WHERE day(day) IN (15, 20)),
+  placed AS (
+    SELECT a.symbol, min(k.day) AS day, any_value(paid) AS paid, any_value(split) AS split
+    FROM acts a JOIN kept k ON k.symbol = a.symbol AND k.day >= a.act GROUP BY a.symbol, a.act),
+  steps AS (
+    SELECT k.symbol, k.day, (1 - coalesce(p.paid, 0) / coalesce(k.previous, 1e300)) / coalesce(p.split, 1) AS step
+    FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY day) AS previous FROM kept) k
+    LEFT JOIN (SELECT symbol, day, sum(paid) AS paid, product(split) AS split FROM placed GROUP BY ALL) p
+      ON p.symbol = k.symbol AND p.day = k.day),
+  b AS ({event_bars(minutes, volume=True)}),
+  factors AS (
+    SELECT b.symbol, b."timestamp", coalesce(product(s.step), 1) AS factor
+    FROM b LEFT JOIN steps s ON s.symbol = b.symbol AND s.day > CAST(make_timestamp_ms(b."timestamp") AS DATE)
+    GROUP BY b.symbol, b."timestamp")
+  SELECT symbol, "timestamp", round(open * factor, 4) AS open, round(high * factor, 4) AS high,
+    round(low * factor, 4) AS low, round(close * factor, 4) AS close, volume
+  FROM b JOIN factors USING (symbol, "timestamp")"""
+
+
 def line_slice(ordinal: int) -> str:
     newest, oldest = 30 * (ordinal - 1), 30 * ordinal
     day = "CAST(l_shipdate AS DATE)"
@@ -138,6 +170,34 @@ def partial(period: str) -> str:
     return line_bars(period, extra=[f"max({end}) > {AS_OF_LINE} AS is_partial"])
 
 
+def served_adjusted(period: str) -> str:
+    """Weeks or months of the daily adjusted series."""
+    bucket = f"date_trunc('{period}', make_timestamp_ms(\"timestamp\"))"
+    return f"""
+  WITH a AS ({DAILY_ADJ})
+  SELECT symbol, max("timestamp") AS "timestamp", first(open ORDER BY "timestamp") AS open, max(high) AS high,
+    min(low) AS low, last(close ORDER BY "timestamp") AS close, last(adj_close ORDER BY "timestamp") AS adj_close,
+    CAST(sum(volume) AS BIGINT) AS volume, sum(dividend_amount) AS dividend_amount
+  FROM a GROUP BY symbol, {bucket}"""
+
+
+TIES = f"""
+  SELECT event_type AS symbol, epoch_ms(time_bucket(INTERVAL '5 minutes', events.ts)) AS "timestamp",
+    first(value ORDER BY date_trunc('minute', events.ts), value) AS open, max(value) AS high, min(value) AS low,
+    last(value ORDER BY date_trunc('minute', events.ts), value) AS close
+  FROM events GROUP BY event_type, time_bucket(INTERVAL '5 minutes', events.ts)"""
+
+# A time zone's own rules, not a constant shift.
+NEW_YORK_DST = """
+  WITH spread AS (SELECT *, ts + to_days(CAST(event_id % 12 AS INTEGER) * 30) AS moment FROM events),
+  b AS (
+    SELECT event_type AS symbol, time_bucket(INTERVAL '60 minutes', moment) AS local, first(value ORDER BY moment, event_id) AS open,
+      max(value) AS high, min(value) AS low, last(value ORDER BY moment, event_id) AS close,
+      CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS volume
+    FROM spread GROUP BY event_type, time_bucket(INTERVAL '60 minutes', moment))
+  SELECT symbol, epoch_ms(timezone('America/New_York', local)) AS "timestamp", open, high, low, close, volume
+  FROM b WHERE NOT (hour(local) IN (1, 2) AND month(local) IN (3, 11))"""
+
 DAY = 'make_timestamp_ms("timestamp")'
 RESPONSE = f"symbol || '-' || strftime({DAY}, '%Y-%m')"
 IS_31 = f"day({DAY}) = 31"
@@ -241,4 +301,30 @@ def build_sql() -> dict[str, str]:
     sql["json_body_errors"] = (
         "SELECT event_id AS response_id, 'bad json' AS reason FROM events WHERE event_type = 'error'")
     sql["landing_files"] = sql["source_file"] = line_bars("day")
+    sql["source_file_fx"] = line_bars("day", PAIR_LINE, volume=False)
+    sql["source_file_forex"] = (
+        f"SELECT \"timestamp\", open, high, low, close FROM ({sql['source_file_fx']}) "
+        "WHERE from_symbol = 'N' AND to_symbol = 'O'")
+    sql["source_file_slices"] = EXTENDED
+    sql["json_body_misfit"] = (
+        "SELECT event_id AS response_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events "
+        "WHERE event_id % 5 <> 0 AND event_id % 7 <> 0")
+    sql["json_body_misfit_errors"] = (
+        "SELECT event_id AS response_id, 'bad json' AS reason FROM events WHERE event_id % 5 = 0 OR event_id % 7 = 0")
+    sql["intraday_adj_gaps"] = f"SELECT {PRICES_OF} FROM ({intraday_adjusted(60, 'day(day) % 3 <> 0')})"
+    sql["intraday_5min_ties"] = TIES
+    sql["served_intraday_adj_compact"] = compact(intraday_adjusted(60))
+    sql["served_extended_slice_adj"] = f"SELECT * FROM ({intraday_adjusted(30)}) WHERE {EVENT_AGE} BETWEEN 0 AND 29"
+    sql["served_weekly_adj"] = served_adjusted("week")
+    sql["served_monthly_adj"] = served_adjusted("month")
+    sql["parse_new_york_dst"] = NEW_YORK_DST
+    clean = f"WITH daily AS ({line_bars('day')})"
+    sql["void_shared_ids"] = (
+        f"{clean} SELECT {KEPT} FROM daily WHERE symbol <> 'R' OR strftime({DAY}, '%Y-%m') NOT IN "
+        f"(SELECT strftime({DAY}, '%Y-%m') FROM daily WHERE symbol = 'R' AND day({DAY}) = 31)")
+    sql["header_first_line"] = f"{clean} SELECT {KEPT} FROM daily WHERE month({DAY}) <> 2"
+    sql["header_repeated"] = line_bars("day")
+    sql["header_repeated_errors"] = (
+        f"{clean} SELECT DISTINCT symbol, strftime({DAY}, '%Y-%m') AS response_id, 'bad timestamp' AS reason, "
+        "CAST(1 AS BIGINT) AS lines FROM daily")
     return sql

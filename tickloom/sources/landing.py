@@ -7,7 +7,7 @@ Layout: ``<root>/<METHOD>/symbol=IBM/*`` for equities and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from tickloom.plans.methods import method_of
@@ -22,7 +22,9 @@ def _text_schema(names) -> str:
     return ", ".join(f"`{name}` string" for name in ("value", *names))
 
 
-def lines_from(reader: DataFrameReader | DataStreamReader, root: str, method: str) -> DataFrame:
+def lines_from(
+    reader: DataFrameReader | DataStreamReader, root: str, method: str, *extra: Column
+) -> DataFrame:
     names = partition_names(method)
     return (
         reader.schema(_text_schema(names))
@@ -31,6 +33,7 @@ def lines_from(reader: DataFrameReader | DataStreamReader, root: str, method: st
             *names,
             F.col("_metadata.file_path").alias("response_id"),
             F.col("value").alias("line"),
+            *extra,
         )
     )
 
@@ -39,9 +42,12 @@ def landed_lines(spark: SparkSession, root: str, method: str) -> DataFrame:
     """One row per line, with the series keys and the file as ``response_id``.
 
     Files are split over tasks, so one huge response does not sit in one task.
-    Key columns are partition columns: filters on them prune whole directories.
+    Key columns are partition columns: filters on them prune whole directories. ``position`` orders the
+    lines of a file: the start of the split, then an id that rises within it.
     """
-    return lines_from(spark.read, root, method)
+    position = F.struct(
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    return lines_from(spark.read, root, method, position.alias("position"))
 
 
 def landed_bodies(spark: SparkSession, path: str) -> DataFrame:

@@ -3,19 +3,23 @@
 The source only moves bytes: each row is one response with its status and whole
 body. Splitting and typing happen in the JVM (``tickloom.operators.bad_lines``).
 
-Options: ``method``; ``symbols`` ("IBM,AAPL") or ``pairs`` ("EUR/USD,EUR/GBP");
+Options: ``method``; ``symbols`` ("IBM,AAPL") or ``pairs`` ("EUR/USD,EUR/GBP"), as a JSON list
+where a name holds a comma, or "all" for every series landed under ``path``;
 ``interval``, ``slices`` (comma list or "all"), ``outputsize``, ``adjusted``,
 ``zone``, ``apikey``; ``transport`` ("http" with ``baseurl`` and any number of
-``header.<name>``, or "file" with ``path``); ``requestsPerTask`` (1).
+``header.<name>``, or "file" with ``path``); ``requestsPerTask`` (1); ``filesSplit`` (4): a landed
+series' files are listed by its tasks and dealt to so many of them.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 from http.client import HTTPException
 from urllib.error import HTTPError, URLError
+from urllib.parse import unquote
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
@@ -31,6 +35,7 @@ from tickloom.plans.methods import SLICES, RequestSpec, method_of
 from tickloom.sources.landing import partition_names
 
 FORMAT = "bar_responses"
+ALL = "all"
 TIMEOUT_SECONDS = 30
 _PATH_SPECIALS = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(0x20)}
 
@@ -41,11 +46,12 @@ def http_get(url: str, headers: dict[str, str], opener: Callable = urlopen) -> t
     A request that never got a response has a NULL status.
     """
     try:
-        with opener(Request(url, headers=headers), timeout=TIMEOUT_SECONDS) as response:
-            return response.status, response.reason, response.read().decode("utf-8", "replace")
-    except HTTPError as refused:
-        with refused:
-            return refused.code, str(refused.reason), refused.read().decode("utf-8", "replace")
+        try:
+            with opener(Request(url, headers=headers), timeout=TIMEOUT_SECONDS) as response:
+                return response.status, response.reason, response.read().decode("utf-8", "replace")
+        except HTTPError as refused:
+            with refused:
+                return refused.code, str(refused.reason), refused.read().decode("utf-8", "replace")
     except (URLError, OSError, HTTPException) as failed:
         return None, f"no response: {getattr(failed, 'reason', failed)}", None
 
@@ -56,6 +62,8 @@ def file_get(location: str) -> tuple:
             return 200, "OK", file.read().decode("utf-8", "replace")
     except FileNotFoundError:
         return 404, "Not Found", None
+    except OSError as failed:
+        return None, f"no response: {failed.strerror or failed}", None
 
 
 def _local_path(location: str) -> str:
@@ -72,6 +80,8 @@ def _escaped(value: str) -> str:
 
 
 def _items(text: str | None) -> list[str]:
+    if (text or "").lstrip().startswith("["):
+        return [str(item) for item in json.loads(text)]
     return [item.strip() for item in (text or "").split(",") if item.strip()]
 
 
@@ -81,6 +91,9 @@ class BarResponseReader(DataSourceReader):
         self.requests_per_task = int(options.get("requestsPerTask", 1))
         if self.requests_per_task < 1:
             raise ValueError("requestsPerTask must be at least 1")
+        self.files_split = int(options.get("filesSplit", 4))
+        if self.files_split < 1:
+            raise ValueError("filesSplit must be at least 1")
         adjusted = options.get("adjusted", "false").lower()
         if adjusted not in ("true", "false"):
             raise ValueError("adjusted must be true or false")
@@ -92,8 +105,6 @@ class BarResponseReader(DataSourceReader):
             adjusted=adjusted == "true",
             api_key=options.get("apikey", ""),
         )
-        self.series = self._series(options)
-        self.slices = self._slices(options)
         self.transport = options.get("transport", "http")
         needed = {"http": "baseurl", "file": "path"}.get(self.transport)
         if needed is None:
@@ -102,6 +113,8 @@ class BarResponseReader(DataSourceReader):
             raise ValueError(f"transport {self.transport!r} needs the option {needed!r}")
         base = options.get(needed)
         self.base = _local_path(base) if self.transport == "file" else base
+        self.series = self._series(options)
+        self.slices = self._slices(options)
         self.headers = {
             name.split(".", 1)[1]: options.get(name)
             for name in options if name.lower().startswith("header.")
@@ -109,19 +122,37 @@ class BarResponseReader(DataSourceReader):
 
     def _series(self, options) -> list[tuple[str, ...]]:
         equity = self.method.kind == "equity"
-        given = _items(options.get("symbols" if equity else "pairs"))
+        text = options.get("symbols" if equity else "pairs")
+        given = _items(text)
         if options.get("pairs" if equity else "symbols"):
             raise ValueError(f"method {self.method.name!r} does not read that kind of series")
+        if text == ALL and self.transport == "file":
+            return self._landed(os.path.join(self.base, self.method.name), self.method.keys)
         series = [(item,) if equity else tuple(item.split("/")) for item in given]
         if not series or any(len(s) != len(self.method.keys) or not all(s) for s in series):
             raise ValueError("give symbols like 'IBM,AAPL' or pairs like 'EUR/USD,EUR/GBP'")
         return list(dict.fromkeys(series))
 
+    def _landed(self, folder: str, keys: tuple[str, ...]) -> list[tuple[str, ...]]:
+        """Key values of the folders of landed series."""
+        if not keys:
+            return [()]
+        if not os.path.isdir(folder):
+            return []
+        start = f"{keys[0]}="
+        names = sorted(name for name in os.listdir(folder) if name.startswith(start))
+        return [
+            (unquote(name.removeprefix(start)), *rest)
+            for name in names for rest in self._landed(os.path.join(folder, name), keys[1:])
+        ]
+
     def _slices(self, options) -> list[str | None]:
         if "slice" not in self.method.options:
             return [None]
         text = options.get("slices", self.spec.slice)
         names = list(SLICES) if text == "all" else list(dict.fromkeys(_items(text)))
+        if not names:
+            raise ValueError("slices must name a slice, or be 'all'")
         for name in names:
             replace(self.spec, slice=name)  # raises on an unknown slice
         return names
@@ -139,7 +170,8 @@ class BarResponseReader(DataSourceReader):
             else:
                 yield pushed
 
-    def _locations(self, series, slice_name) -> list[str]:
+    def _locations(self, series, slice_name, part) -> list[str]:
+        """Files of a request that fall to a part of it, listed by the part's task."""
         if self.transport == "http":
             return [""]
         values = dict(zip(self.method.keys, series), slice=slice_name)
@@ -147,17 +179,18 @@ class BarResponseReader(DataSourceReader):
         folder = os.path.join(
             self.base, self.method.name, *(f"{name}={_escaped(values[name])}" for name in names)
         )
-        if not os.path.isdir(folder):
-            return [folder]  # read as 404
-        return [e.path for e in os.scandir(folder) if e.is_file() and e.name[0] not in "._"]
+        try:
+            found = sorted(e.path for e in os.scandir(folder) if e.is_file() and e.name[0] not in "._")
+        except OSError:
+            found = [folder]  # read as an error row
+        return found[part::self.files_split]
 
     def partitions(self) -> list[InputPartition]:
-        """Plain tuples (series, slice, location), as there may be very many requests."""
+        """Plain tuples (series, slice, part), as there may be very many requests."""
+        parts = range(self.files_split if self.transport == "file" else 1)
         requests = [
-            (series, slice_name, location)
-            for series in self.series
-            for slice_name in self.slices
-            for location in self._locations(series, slice_name)
+            (series, slice_name, part)
+            for series in self.series for slice_name in self.slices for part in parts
         ]
         size = self.requests_per_task
         batches = [requests[i:i + size] for i in range(0, len(requests), size)]
@@ -172,7 +205,12 @@ class BarResponseReader(DataSourceReader):
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         names = response_schema(self.method.name).names
         types = [pa.int32() if name == "status" else pa.string() for name in names]
-        for series, slice_name, location in partition.value:
+        requests = (
+            (series, slice_name, location)
+            for series, slice_name, part in partition.value
+            for location in self._locations(series, slice_name, part)
+        )
+        for series, slice_name, location in requests:
             status, reason, body = self._fetch(series, slice_name, location)
             named = [self.method.name, *series, slice_name, os.path.basename(location)]
             response_id = "/".join(part for part in named if part)

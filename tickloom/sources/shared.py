@@ -24,8 +24,19 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """The application's own part of the shared folder, so that all it wrote can go at once."""
+    return f"{shared_folder(spark)}/tickloom-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one written table, or all that this application wrote; frames on them cannot be read again."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path or _own_folder(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written_once(df: DataFrame, name: str) -> DataFrame:

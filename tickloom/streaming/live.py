@@ -61,7 +61,8 @@ def live_bars(
     if check_period(period) == "month":
         raise ValueError("live bars are intraday, daily or weekly")
     found, shape = bar_aggregates(
-        ts=ts, open=price, high=price, low=price, close=price, tie_break=tie_break, volume=volume
+        ts=ts, open=price, high=price, low=price, close=price, tie_break=tie_break, volume=volume,
+        volume_kind=ticks.schema[volume].dataType.simpleString() if volume else "bigint",
     )
     start = millis_to_local(F.unix_millis("window.start"), "UTC")
     label = start if period in INTERVALS else F.col("_date")
