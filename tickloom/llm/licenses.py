@@ -101,8 +101,8 @@ def normal(text: Column) -> Column:
 
 
 def digest(text: Column) -> Column:
-    """Digest of a normalised text; null if nothing is left of it."""
-    return F.sha2(F.nullif(normal(text), F.lit("")), 256)
+    """Digest of a normalised text; null for a null."""
+    return F.sha2(normal(text), 256)
 
 
 def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
@@ -111,14 +111,16 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     ``license`` is that of the known text the whole document equals, else null; ``notices`` the sorted licences of
     the lines that equal known texts.
     """
-    table = known.select("license", digest(F.col("text")).alias("_known")).dropna().groupBy("_known").agg(
+    nothing = F.col("_known") == F.sha2(F.lit(""), 256)
+    table = known.select("license", digest(F.col("text")).alias("_known")).filter(~nothing).groupBy("_known").agg(
         F.array_join(F.array_sort(F.collect_set("license")), "+").alias("license"))
     if table.count() <= BROADCAST_TEXTS:
         table = F.broadcast(table)
     given = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     own = F.xxhash64("text").alias("_own")
-    lines = given.select("doc_id", own, F.explode(F.split("text", "\n")).alias("_line"))
-    hits = lines.select("doc_id", "_own", digest(F.col("_line")).alias("_known")).join(table, "_known")
+    # Digests are made below the generator: the join's filter on its key stays above it and makes none again.
+    lines = given.select("doc_id", own, F.explode(F.transform(F.split("text", "\n"), digest)).alias("_known"))
+    hits = lines.join(table, "_known")
     notices = hits.groupBy("doc_id", "_own").agg(F.array_sort(F.collect_set("license")).alias("notices"))
     notices = notices.withColumnsRenamed({"doc_id": "_doc", "_own": "_of"})
     whole = given.select("doc_id", own, digest(F.col("text")).alias("_known")).join(table, "_known", "left")
