@@ -168,5 +168,47 @@ GROUP BY p.number, p.page_id, p.host, p.path
 """
 
 
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+    AND NOT list_bool_and(list_transform(embedding, lambda x: x = 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a
+  JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(r) AS component_id, vec_id = min(r) AS kept
+FROM reach LEFT JOIN counts USING (vec_id) GROUP BY vec_id
+"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM w),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM sets UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (doc_id)
+"""
+
+
 def build_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL, "op5_topk_search": TOPK_SQL, "op6_url_filter": URL_SQL}
+    return {
+        "op2_embedding_dedup": EMBEDDING_SQL,
+        "op4_mixing": MIXING_SQL,
+        "op5_topk_search": TOPK_SQL,
+        "op6_url_filter": URL_SQL,
+        "op10_ngram_jaccard_join": JACCARD_SQL,
+    }
