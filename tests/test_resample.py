@@ -212,3 +212,12 @@ def test_roll_ups_that_do_not_divide(spark, source, period):
     bars = spark.createDataFrame([], "symbol string, ts date, open double, high double, low double, close double")
     with pytest.raises(ValueError):
         bars_from_bars(bars, period, source=source)
+
+
+def test_unique_ties_aggregate_by_hash_and_change_nothing(spark, frame, ticks):
+    numbered = spark.createDataFrame([(t[0], t[1], n - 30, t[3], t[4]) for n, t in enumerate(ticks)], SCHEMA)
+    packed = bars_from_ticks(numbered, "15min", tie_break=("id",), unique_ties=True, volume="volume")
+    assert "SortAggregate" not in plan_of(packed)
+    assert rows(packed) == rows(bars_from_ticks(numbered, "15min", tie_break=("id",), volume="volume"))
+    with pytest.raises(ValueError):
+        bars_from_ticks(numbered, "15min", tie_break=("price",), unique_ties=True)

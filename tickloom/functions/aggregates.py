@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
+from tickloom.functions.calendar import local_micros
+
 _FIRST, _LAST = "_first", "_last"
 
 
@@ -16,11 +19,11 @@ def ends(
 
     Returns the aggregates and the columns to select from their result. One minimum and one
     maximum of (order, values) serve all values; equal orders are settled by the value, so the
-    result never depends on task order. ``unique`` says that one order column has no repeats: then they
-    are ``min_by`` and ``max_by``, which aggregate by hashing.
+    result never depends on task order. ``unique`` says that the order columns, a time alone or with
+    one integer, have no repeats: then they are ``min_by`` and ``max_by``, which aggregate by hashing.
     """
-    if unique and len(order) == 1:
-        key = order[0]
+    if unique and len(order) <= 2:
+        key = F.col(order[0]) if len(order) == 1 else _packed(*order)
         found = [F.min_by(first, key).alias(_FIRST)]
         found += [F.max_by(name, key).alias(f"{_LAST}{i}") for i, name in enumerate(last)]
         return found, [F.col(_FIRST), *(F.col(f"{_LAST}{i}") for i in range(len(last)))]
@@ -33,6 +36,12 @@ def ends(
     return found, [F.col(f"{_FIRST}.v0"), *(F.col(f"{_LAST}.v{i}") for i in range(len(last)))]
 
 
+def _packed(ts: str, number: str) -> Column:
+    """One decimal in the order of (ts, number); it has a fixed width, so hash aggregation can hold it."""
+    micros = local_micros(F.col(ts).cast("timestamp_ntz")).cast("decimal(17,0)")
+    return micros * F.lit(Decimal(1 << 64)) + F.col(number).cast("decimal(20,0)")
+
+
 def money_sum(value: str) -> Column:
     """Sum of amounts in decimals of 16 places, so the result does not depend on task order.
 

@@ -24,6 +24,7 @@ from tickloom.functions.calendar import (
 )
 from tickloom.plans.methods import INTERVALS
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 _BUCKET = "_bucket"
 _DATE = "_date"
 
@@ -36,7 +37,7 @@ def bar_aggregates(
     low: str,
     close: str,
     tie_break: Sequence[str] = (),
-    unique_ts: bool = False,
+    unique: bool = False,
     adj_close: str | None = None,
     volume: str | None = None,
     volume_kind: str = "bigint",
@@ -44,7 +45,7 @@ def bar_aggregates(
 ) -> tuple[list[Column], list[Column]]:
     """Aggregates of one bar, and the bar's columns in terms of them."""
     last = [close, adj_close] if adj_close else [close]
-    found, (first_value, *last_values) = ends((ts, *tie_break), open, last, unique=unique_ts)
+    found, (first_value, *last_values) = ends((ts, *tie_break), open, last, unique=unique)
     found += [F.max(high).alias("high"), F.min(low).alias("low")]
     shape = [first_value.alias("open"), F.col("high"), F.col("low"), last_values[0].alias("close")]
     if adj_close:
@@ -86,6 +87,7 @@ def bars_from_ticks(
     price: str = "price",
     tie_break: Sequence[str] = (),
     unique_ts: bool = False,
+    unique_ties: bool = False,
     volume: str | None = None,
     adj_close: str | None = None,
     dividend: str | None = None,
@@ -94,14 +96,17 @@ def bars_from_ticks(
 
     ``tie_break`` orders trades of equal ``ts``; what it leaves equal is settled by price, the lowest
     first, so bars never depend on the order of rows. ``unique_ts`` promises that no series has two trades of one
-    ``ts`` and aggregates by hashing.
+    ``ts``, ``unique_ties`` that none has two of one ``ts`` and tie-break, a single integer column; both
+    aggregate by hashing instead of sorting.
     """
-    if unique_ts and tie_break:
+    if unique_ts and (tie_break or unique_ties):
         raise ValueError("unique times need no tie_break")
+    if unique_ties and (len(tie_break) != 1 or ticks.schema[tie_break[0]].dataType.simpleString() not in INTEGERS):
+        raise ValueError("unique_ties needs one integer tie_break column")
     check_period(period)
     return _bars(
         trades_of(ticks, ts, price), period, keys, ts,
-        open=price, high=price, low=price, close=price, tie_break=tie_break, unique_ts=unique_ts,
+        open=price, high=price, low=price, close=price, tie_break=tie_break, unique=unique_ts or unique_ties,
         adj_close=adj_close, volume=volume, dividend=dividend,
     )
 
@@ -132,7 +137,7 @@ def bars_from_bars(
     optional = {"adj_close": "adj_close", "volume": "volume", "dividend": "dividend_amount"}
     given = {name: column for name, column in optional.items() if column in bars.columns}
     return _bars(
-        bars, period, keys, "ts", open="open", high="high", low="low", close="close", unique_ts=True, **given
+        bars, period, keys, "ts", open="open", high="high", low="low", close="close", unique=True, **given
     )
 
 

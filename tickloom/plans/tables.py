@@ -79,7 +79,7 @@ def lineitem_bars(spark, sf_dir, period, keys=SYMBOL, volume="volume", adjusted=
 
 def event_bars(spark, sf_dir, period, keys=SYMBOL, volume=None) -> DataFrame:
     return bars_from_ticks(
-        event_ticks(spark, sf_dir), period, keys=keys, tie_break=("event_id",), volume=volume
+        event_ticks(spark, sf_dir), period, keys=keys, tie_break=("event_id",), unique_ties=True, volume=volume
     )
 
 
