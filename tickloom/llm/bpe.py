@@ -5,7 +5,7 @@ encoded together. Greedy longest match proposes tokens. A proposal is the word's
 exactly when every adjacent pair of its tokens stands alone, i.e. the pair's bytes encode to just
 that pair; this is tested for all pairs of all words at once, against a sorted table of known
 pairs, and pairs not met before are settled by merging their few bytes. Words with a failing pair are merged
-exactly. Known words are kept in a table of bounded size, which is emptied when it is full.
+exactly. Words met again are kept in a table of bounded size, which is emptied when it is full.
 
 The vocabulary is read from the tokenizer's file (a parameter, the path on the executors). Strings of
 added tokens are cut out of a text first, the leftmost and longest first, as the file's library does.
@@ -27,14 +27,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: Words kept in a task's table. An entry takes some 300 bytes.
-KNOWN_WORDS = 400_000
+from tickloom.llm.shingles import release
+
+#: Words kept in a process's table, an entry of some 350 bytes each. A word is kept when it is new a second time, as far
+#: as a table of marks tells.
+KNOWN_WORDS = 200_000
+MARKS = 1 << 22
 #: Longer words are encoded but not kept.
 KNOWN_LENGTH = 64
 #: Failing words up to this length are merged together, longer ones one by one.
 TOGETHER = 32
-#: Bytes of text encoded together.
-BATCH_BYTES = 1 << 22
+#: Characters of text encoded together, and texts turned into strings at a time.
+BATCH_CHARS = 1 << 20
+PART = 128
+#: Known pairs of tokens; beyond it the table starts anew.
+KNOWN_PAIRS = 1 << 20
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -73,6 +80,7 @@ class ByteBPE:
         self.pairs = np.zeros(0, np.int64)
         self.pair_fits = np.zeros(0, bool)
         self.known: dict[str, tuple[str, bytes, int]] = {}
+        self.marks_seen = bytearray(MARKS)
         self.failed = self.proposed = 0
         # Proposals consist of tokens that are reached by merging their own bytes.
         self.alone = {b: i for b, i in self.id_of.items() if self.merge(b) == [i]}
@@ -162,8 +170,10 @@ class ByteBPE:
                 fits.append(self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b])
             pairs = np.concatenate([self.pairs, fresh])
             order = np.argsort(pairs)
-            self.pairs = pairs[order]
-            self.pair_fits = np.concatenate([self.pair_fits, np.array(fits, bool)])[order]
+            pairs, all_fits = pairs[order], np.concatenate([self.pair_fits, np.array(fits, bool)])[order]
+            self.pairs, self.pair_fits = (pairs, all_fits) if len(pairs) <= KNOWN_PAIRS else (
+                np.zeros(0, np.int64), np.zeros(0, bool))
+            return all_fits[np.searchsorted(pairs, wanted)][place]
         return self.pair_fits[np.searchsorted(self.pairs, wanted)][place]
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
@@ -218,16 +228,16 @@ class ByteBPE:
         split = [self.pieces(t) for t in texts]
         new = set().union(*split) - self.known.keys()
         rows = self.learn(new) if new else {}
-        kept = {p: r for p, r in rows.items() if len(p) <= KNOWN_LENGTH}
-        table = self.known
-        if len(table) + len(kept) > KNOWN_WORDS:
-            rows = table | rows
-            self.known = dict(list(kept.items())[:KNOWN_WORDS])
-            table = rows
-        else:
-            table |= kept
-            if len(kept) < len(rows):
-                table = table | rows
+        kept, seen = {}, self.marks_seen
+        for piece, row in rows.items():
+            mark = hash(piece) & (MARKS - 1)
+            if seen[mark] and len(piece) <= KNOWN_LENGTH:
+                kept[piece] = row
+            seen[mark] = 1
+        table = self.known | rows if len(kept) < len(rows) else self.known
+        if len(self.known) + len(kept) > KNOWN_WORDS:
+            self.known, self.marks_seen = {}, bytearray(MARKS)
+        self.known |= kept
         out = []
         for pieces in split:
             ids, decoded, count = zip(*[table[p] for p in pieces]) if pieces else ((), (), ())
@@ -252,14 +262,14 @@ def _digester(path: str):
     def digest(batches):
         bpe = tokenizer(path)
         for batch in batches:
-            texts = batch.column(0).fill_null("").to_pylist()
             found, held, n = [], [], 0
-            for text in texts:
-                held.append(text)
-                n += len(text)
-                if n >= BATCH_BYTES:
-                    found += bpe.digest_texts(held)
-                    held, n = [], 0
+            for start in range(0, batch.num_rows, PART):
+                for text in batch.column(0).slice(start, PART).to_pylist():
+                    held.append(text or "")
+                    n += len(held[-1])
+                    if n >= BATCH_CHARS:
+                        found += bpe.digest_texts(held)
+                        held, n = [], 0
             if held:
                 found += bpe.digest_texts(held)
             n_tokens, ids, decoded = zip(*found) if found else ((), (), ())
@@ -267,6 +277,7 @@ def _digester(path: str):
                 *batch.columns[1:], pa.array(n_tokens, pa.int64()), pa.array(ids, pa.string()),
                 pa.array(decoded, pa.string()),
             ], [*batch.schema.names[1:], "n_tokens", "ids_sha256", "decoded_sha256"])
+            release()
 
     return digest
 

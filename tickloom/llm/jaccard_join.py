@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.shingles import mix, token_sets
+from tickloom.llm.shingles import mix, release, token_sets
 from tickloom.llm.vectors import in_blocks
 from tickloom.sources.shared import written_once
 
@@ -323,6 +323,7 @@ def _meet(block: pa.Table) -> pa.Table:
     many = ~few
     listed, first = np.unique(lists[group[many]], return_index=True)
     chosen = np.isin(group, group[many][first])
+    release()
     return pa.concat_tables([
         _batch(0, a[new], b[new]),
         _batch(1, lists[group[chosen]].view(np.int64), set_id[chosen]),

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.shingles import WIDTH, _words, chunks, text_buffers, tokens
+from tickloom.llm.shingles import WIDTH, _words, chunks, release, text_buffers, tokens
 
 SAMPLE = 4096
 RANK = 48
@@ -217,6 +217,7 @@ def _scorer(shared):
                      batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first),
                      pa.array(score)],
                     [*batch.schema.names[2:], "doc_id", "text", "score"])
+            release()
 
     return score
 

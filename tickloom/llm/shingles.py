@@ -8,6 +8,7 @@ work is array arithmetic over the bytes of a bounded chunk of documents.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,9 +129,17 @@ class TokenSets:
             self.set_id = mix(digest ^ mix(self.size.astype(_U))).view(np.int64)
 
 
+def release() -> None:
+    """Hand the memory of freed arrays back to the system, as worker processes outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def token_sets(column: pa.Array) -> Iterator[TokenSets]:
     offsets, data = text_buffers(column)
     for first, last in chunks(offsets):
         low, high = offsets[first], offsets[last]
         yield TokenSets(first, last, *tokens(data[low:high], offsets[first:last + 1] - low))
-    pa.default_memory_pool().release_unused()
+    release()
