@@ -31,14 +31,14 @@ from tickloom.llm.shingles import release
 
 #: Words kept in a process's table, an entry of some 350 bytes each. A word is kept when it is new a second time, as far
 #: as a table of marks tells.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 250_000
 MARKS = 1 << 22
 #: Longer words are encoded but not kept.
 KNOWN_LENGTH = 64
 #: Failing words up to this length are merged together, longer ones one by one.
 TOGETHER = 32
 #: Characters of text encoded together, and texts turned into strings at a time.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 21
 PART = 128
 #: Known pairs of tokens; beyond it the table starts anew.
 KNOWN_PAIRS = 1 << 20
@@ -234,7 +234,7 @@ class ByteBPE:
             if seen[mark] and len(piece) <= KNOWN_LENGTH:
                 kept[piece] = row
             seen[mark] = 1
-        table = self.known | rows if len(kept) < len(rows) else self.known
+        table = self.known | rows
         if len(self.known) + len(kept) > KNOWN_WORDS:
             self.known, self.marks_seen = {}, bytearray(MARKS)
         self.known |= kept
