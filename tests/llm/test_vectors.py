@@ -108,3 +108,23 @@ def test_top_k_odd_rows(spark):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == [
         (0, 1, 1, 64 * 64 * 5), (0, 2, 1, 64 * 64 * 5), (0, 3, 2, 0), (0, 4, 3, -(64 * 64 * 10**6))]
     assert topk_search.top_k(spark.createDataFrame([], SCHEMA), topk_search.F.col("id") % 20 == 0).count() == 0
+
+
+def test_top_k_whole_cluster_in_one_block(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "PIVOTS", 4)
+    monkeypatch.setattr(topk_search, "ANNULI", 1)
+    rng = np.random.default_rng(3)
+    # Tight clusters of more than k + 1 vectors, without ties: all of a query's best lie beside its own row.
+    centres = rng.normal(size=(12, 16)) * 4
+    rows = [(i, (centres[i % 12] + rng.normal(size=16) * 0.05).tolist()) for i in range(12 * 40)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    found = topk_search.top_k(df, topk_search.F.col("id") % 20 == 0).collect()
+    assert sorted(map(tuple, found)) == brute_top(rows, 20)
+
+
+def test_block_keeps_k_besides_the_own_row():
+    v = [[i, 1] for i in range(1, 32)]
+    table = topk_search.pa.table({
+        "asks": [True] + [False] * 31, "query": [7] + [0] * 31, "id": [31, *range(1, 32)], "v": [v[-1], *v]})
+    found = topk_search._search(20)(table)
+    assert found.column("vec_id").to_pylist() == list(range(30, 10, -1))

@@ -39,6 +39,8 @@ BLOCK_ROWS = 2048
 #: Annuli searched first hold this many times k candidates.
 FIRST = 8
 _ROOM = 1e-6
+#: Score of a query with itself: below all others, and its negation is still a long.
+_OWN = np.iinfo(np.int64).min + 1
 
 
 def _lengthened(v: np.ndarray, most: float) -> np.ndarray:
@@ -129,11 +131,11 @@ def _search(k: int):
         for start in range(0, len(names) if len(answer) else 0, step):
             own = np.flatnonzero(asks)[start:start + step]
             score = _dots(v[own], v[answer])
-            score[ids[own][:, None] == ids[answer]] = np.iinfo(np.int64).min
+            score[ids[own][:, None] == ids[answer]] = _OWN
             n = min(k, len(answer))
             # Columns are in order of id, so a stable order settles ties.
             edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
-            row, column = np.nonzero((score >= edge[:, None]) & (score > np.iinfo(np.int64).min))
+            row, column = np.nonzero((score >= edge[:, None]) & (score > _OWN))
             found = score[row, column]
             order = np.lexsort((column, -found, row))
             row, column, found = row[order], column[order], found[order]
