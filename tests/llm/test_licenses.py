@@ -41,3 +41,16 @@ def test_odd_rows(spark, known, documents):
     assert licenses.scan(documents(), known).count() == 0
     long = "word " * 50_000 + "\n" + line
     assert scan(spark, known, documents, (1, long))[1] == (None, ["MIT"])
+
+
+def test_licence_files_and_wrapped_notices(spark, known, documents):
+    full = {p.stem: p.read_text() for p in licenses.FILES.glob("*.txt")}
+    mit, bsd = dict(licenses.TEXTS)["MIT"], dict(licenses.TEXTS)["BSD-3-Clause"]
+    rows = [*enumerate(full.values(), 10), (1, "MIT License\n\nCopyright (c) 2020 X\n\n" + mit),
+            (2, "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+            (3, full["Apache-2.0"].split("APPENDIX")[0]),
+            (4, "Words.\n\n# This project is licensed under\n# the MIT License.\n\nMore words."), (5, mit + "\nAll rights reserved by us.")]
+    found = scan(spark, known, documents, *rows)
+    assert {n: found[i][0] for i, n in enumerate(full, 10)} == {n: n for n in full}
+    assert [found[i][0] for i in range(1, 6)] == ["MIT", "BSD-3-Clause", "Apache-2.0", None, None]
+    assert found[4][1] == ["MIT"]

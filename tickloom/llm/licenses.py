@@ -1,21 +1,24 @@
 """Licences and licence notices found by digests of whole normalised texts.
 
 A text is normalised so that copies which mean the same read the same: A-Z lower case, lines that
-begin with a copyright mark gone, quotes, dashes and other punctuation and all white space one space, and
-equivalent spellings made equal. Its digest is then joined with those of known texts. Two
-kinds of text are looked up: each document as a whole, and each of its lines as a whole. Both joins are equalities with
-the table of known digests, which is broadcast only while small.
+begin with a copyright mark or only reserve all rights gone, quotes, dashes and other punctuation and all white space one space, and
+equivalent spellings made equal. Its digest is then joined with those of known texts. Three
+kinds of text are looked up: each document as a whole, each of its lines, and each block of lines between blank lines,
+so that a notice may be wrapped. All joins are equalities with the table of known digests, which is broadcast only while small.
 
 Lines that match are few; they are gathered per document from the matches alone.
 
 Cases: a null or blank text, and one without anything but copyright lines, matches nothing; texts of any length are
 normalised whole; repeated rows match alike, and rows that share an id but not a text are told apart by their
-digest; a line found twice counts once in ``notices``; two known texts with one digest are both reported, joined by
+digest; a line or block found twice counts once in ``notices``; two known texts with one digest are both reported, joined by
 "+"; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Known texts are broadcast up to so many rows, some 20 MB.
@@ -23,6 +26,7 @@ BROADCAST_TEXTS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line of running text may begin with the word, so a statement's next sign or year is asked for too.
 _COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:copyright[ \t:]*(?:\(c\)|©|\d{4}|by\b)|\(c\)|©)[^\n]*$"
+_COPYRIGHT_LINE += r"|(?m)^[ \t#*/;%-]*all rights reserved[ \t.*/]*\r?$"
 _NOT_WORD = r"[^\p{L}\p{N}+]+"
 
 #: Equivalent spellings, after case and punctuation are gone.
@@ -65,8 +69,50 @@ without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
 License for more details. You should have received a copy of the GNU General Public License along with this program.
 If not, see <https://www.gnu.org/licenses/>."""
 
+_BSD_HEAD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.
+"""
+_BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_UNLICENSE_END = "\nFor more information, please refer to <https://unlicense.org>"
+
 #: Licences and notices by SPDX id, texts as published. Names and forms of one-line notices.
-TEXTS = (("MIT", _MIT), ("ISC", _ISC), ("Apache-2.0", _APACHE), ("GPL-3.0-or-later", _GPL3))
+TEXTS = (("MIT", _MIT), ("ISC", _ISC), ("Apache-2.0", _APACHE), ("GPL-3.0-or-later", _GPL3),
+         ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL), ("BSD-3-Clause", _BSD_HEAD + _BSD_NAMES + _BSD_TAIL),
+         ("Unlicense", _UNLICENSE + _UNLICENSE_END), ("Unlicense", _UNLICENSE))
+#: Full texts as published, in files named by SPDX id; what follows the end of the terms may be missing in a copy.
+FILES = Path(__file__).parent / "license_texts"
+_END = "END OF TERMS AND CONDITIONS"
+TITLES = (
+    ("MIT", ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)")),
+    ("ISC", ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)")),
+    ("BSD-2-Clause", ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License")),
+    ("BSD-3-Clause", ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License")),
+    ("Unlicense", ("The Unlicense", "Unlicense")),
+)
 NAMES = (
     ("MIT", "the MIT License"), ("ISC", "the ISC License"), ("Apache-2.0", "the Apache License, Version 2.0"),
     ("BSD-2-Clause", "the BSD 2-Clause License"), ("BSD-3-Clause", "the BSD 3-Clause License"),
@@ -85,9 +131,19 @@ FORMS = (
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    """(license, text): whole licences, and one-line notices of each."""
+    """(license, text): whole licences, those with a title also with it, and one-line notices of each."""
+    whole = list(TEXTS)
+    for path in sorted(FILES.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        # The terms end before or with this line.
+        terms, end, _ = text.partition(_END)
+        whole += [(path.stem, t) for t in dict.fromkeys((text, terms, terms + end))]
+    # Clauses of BSD texts come with numbers or with other marks.
+    whole += [(spdx, re.sub(r"(?m)^\d\. ", "- ", text)) for spdx, text in TEXTS if spdx.startswith("BSD")]
+    titles = dict(TITLES)
+    whole += [(spdx, f"{title}\n\n{text}") for spdx, text in list(whole) for title in titles.get(spdx, ())]
     notices = [(spdx, form.format(name)) for spdx, name in NAMES for form in FORMS]
-    return spark.createDataFrame([*TEXTS, *notices], "license string, text string")
+    return spark.createDataFrame([*whole, *notices], "license string, text string")
 
 
 def normal(text: Column) -> Column:
@@ -109,7 +165,7 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     """One row per row of (doc_id, text): doc_id, license, notices.
 
     ``license`` is that of the known text the whole document equals, else null; ``notices`` the sorted licences of
-    the lines that equal known texts.
+    the lines and blocks of lines that equal known texts.
     """
     nothing = F.col("_known") == F.sha2(F.lit(""), 256)
     table = known.select("license", digest(F.col("text")).alias("_known")).filter(~nothing).groupBy("_known").agg(
@@ -119,7 +175,9 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     given = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     own = F.xxhash64("text").alias("_own")
     # Digests are made below the generator: the join's filter on its key stays above it and makes none again.
-    lines = given.select("doc_id", own, F.explode(F.transform(F.split("text", "\n"), digest)).alias("_known"))
+    blocks = F.filter(F.split("text", r"\n[ \t\r]*\n"), lambda block: F.contains(block, F.lit("\n")))
+    pieces = F.concat(F.split("text", "\n"), blocks)
+    lines = given.select("doc_id", own, F.explode(F.transform(pieces, digest)).alias("_known"))
     hits = lines.join(table, "_known")
     notices = hits.groupBy("doc_id", "_own").agg(F.array_sort(F.collect_set("license")).alias("notices"))
     notices = notices.withColumnsRenamed({"doc_id": "_doc", "_own": "_of"})
