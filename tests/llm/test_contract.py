@@ -15,7 +15,7 @@ QUERIES, SQL = build_queries(), build_sql()
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -1,0 +1,93 @@
+"""Hard negatives against all scores."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.llm import hard_negatives
+
+SCHEMA = "vec_id bigint, label int, embedding array<float>, anchor string, w int"
+
+
+def usable(r):
+    return (r[0] is not None and r[1] is not None and r[2] and
+            all(x is not None and math.isfinite(x) for x in r[2]))
+
+
+def brute_force(rows, every):
+    rows = [(r[0], r[1], [math.floor(256 * float(np.float32(x))) for x in r[2]]) for r in rows if usable(r)]
+    found, seen = [], set()
+    for a in rows:
+        if a[0] % every or (a[0], a[1], tuple(a[2])) in seen:
+            continue
+        seen.add((a[0], a[1], tuple(a[2])))
+        scored = sorted(
+            (-sum(x * y for x, y in zip(a[2], b[2])), b[0], b[1]) for b in rows if b[0] != a[0] and len(b[2]) == len(a[2]))
+        for p, i, _ in [s for s in scored if s[2] == a[1]][:5]:
+            fits = [s for s in scored if s[2] != a[1] and 30 * -p <= 100 * -s[0] <= 90 * -p][:10]
+            found += [(a[0], i, k + 1, s[1], -p, -s[0]) for k, s in enumerate(fits)]
+    return sorted(found)
+
+
+def mined(spark, rows, every):
+    full = [(*r, "x", 1) for r in rows]
+    found = hard_negatives.mine(spark.createDataFrame(full, SCHEMA), F.col("id") % every == 0)
+    return sorted(tuple(r) for r in found.collect())
+
+
+def unit(rng, d, centre=None, spread=1.0):
+    v = [rng.gauss(c, spread) for c in centre or [0] * d]
+    n = math.sqrt(sum(x * x for x in v)) or 1
+    return [float(np.float32(x / n)) for x in v]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_all_scores(spark, seed, monkeypatch):
+    """Clusters, copies, ties, repeated ids, several lengths, small blocks."""
+    monkeypatch.setattr(hard_negatives, "SLICE_ROWS", 37)
+    monkeypatch.setattr(hard_negatives, "BLOCK_ANCHORS", 9)
+    monkeypatch.setattr(hard_negatives, "FIRST", 1)
+    rng = random.Random(seed)
+    centres = [unit(rng, 20) for _ in range(4)]
+    rows = [(i, rng.randrange(3), unit(rng, 20, rng.choice(centres), 0.3)) for i in range(250)]
+    rows += [(300 + i, rng.randrange(4), rows[0][2]) for i in range(60)]
+    rows += [(400 + i, rng.randrange(2), [float(rng.randrange(-1, 2)) for _ in range(3)]) for i in range(60)]
+    rows += [(7, 1, rows[3][2]), (12, 0, rows[12][2]), rows[20], rows[20], (500, 9, unit(rng, 20)), (501, 8, unit(rng, 7))]
+    assert mined(spark, rows, 4) == brute_force(rows, 4)
+
+
+def test_odd_rows(spark):
+    rows = [(0, 1, [1.0, 0.0]), (1, 1, [0.9, 0.1]), (2, 2, [0.5, 0.5]), (None, 1, [1.0, 0.0]), (3, None, [1.0, 0.0]),
+            (4, 2, None), (5, 2, []), (6, 2, [float("nan"), 1.0]), (7, 2, [None, 1.0]), (8, 2, [float("inf"), 1.0]),
+            (9, 2, [0.0, 0.0]), (10, 1, [-1.0, 0.0]), (100, 3, [1.0, 1.0, 1.0])]
+    assert mined(spark, rows, 1) == brute_force(rows, 1)
+    assert mined(spark, [], 1) == []
+
+
+def test_pairs_above():
+    """The index leaves rows out and pairs are pruned, without loss."""
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        d = int(rng.integers(1, 70))
+        q, x = (np.floor(256 * rng.normal(size=(n, d)) * np.geomspace(1, rng.uniform(0.01, 1), d)) for n in (30, 200))
+        scores = q @ x.T
+        for level in (0.2, 0.9, 0.999):
+            least = np.quantile(scores, level, axis=1).astype(np.int64)
+            a, b, s = hard_negatives.pairs_above(q, x, least)
+            expected = {(i, j): scores[i, j] for i, j in zip(*np.nonzero(scores >= least[:, None]))}
+            assert dict(zip(zip(a.tolist(), b.tolist()), s.tolist())) == expected
+
+
+def test_index_leaves_out_what_suffix_norms_cover(monkeypatch):
+    """With a high threshold most products are never made."""
+    rng = np.random.default_rng(6)
+    q, x = (np.floor(256 * rng.normal(size=(n, 64)) * np.geomspace(1, 0.02, 64)) for n in (50, 2000))
+    made = []
+    einsum = np.einsum
+    monkeypatch.setattr(np, "einsum", lambda s, a, b: made.append(a.size) or einsum(s, a, b))
+    least = np.quantile(q @ x.T, 0.999, axis=1).astype(np.int64)
+    a, _, _ = hard_negatives.pairs_above(q, x, least)
+    assert len(a) >= 100 and sum(made) < 0.05 * 50 * 2000 * 64

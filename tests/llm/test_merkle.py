@@ -1,0 +1,92 @@
+"""The manifest against a tree built node by node."""
+
+import random
+from hashlib import sha256
+from itertools import groupby
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.llm import merkle
+
+SCHEMA = "doc_id bigint, lang string, text string, pos int, node string"
+
+
+def digest(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(r):
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    return digest(*map(field, (r[0], r[1], r[2])))
+
+
+def tree(nodes):
+    """Root, and the siblings of each node from the lowest level up."""
+    place, proofs = list(range(len(nodes))), [[] for _ in nodes]
+    while len(nodes) > 1:
+        for i, p in enumerate(place):
+            proofs[i].append(nodes[p ^ 1] if p ^ 1 < len(nodes) else "")
+            place[i] = p // 2
+        nodes = [digest(*nodes[i:i + 2]) for i in range(0, len(nodes), 2)]
+    return nodes[0], proofs
+
+
+def expected(rows):
+    key = lambda r: (r[1] is not None, (r[1] or "").encode())
+    groups = []
+    for _, members in groupby(sorted(rows, key=key), key):
+        members = sorted(members, key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        groups.append((members, *tree([leaf(r) for r in members])))
+    root, above = tree([g[1] for g in groups]) if groups else (None, [])
+    return sorted(
+        (str(r[0]), leaf(r), sub, root, p, proof, g, above[g])
+        for g, (members, sub, proofs) in enumerate(groups) for p, (r, proof) in enumerate(zip(members, proofs)))
+
+
+def found(spark, rows):
+    frame = spark.createDataFrame([(*r, 1, "n") for r in rows], SCHEMA).repartition(3)
+    out = merkle.manifest(
+        frame, [F.col("doc_id"), F.col("lang"), F.col("text")], group=F.col("lang"), order=[F.col("doc_id")],
+        keep=[F.col("doc_id"), F.col("node"), F.col("pos").alias("n")])
+    shown = merkle.fold(merkle.fold(F.col("leaf"), F.col("pos"), F.col("proof")), F.col("group_pos"), F.col("group_proof"))
+    out = out.withColumn("folded", shown).collect()
+    assert all(r.folded == r.root and r.node == "n" for r in out)
+    return sorted((str(r.doc_id), r.leaf, r.subroot, r.root, r.pos, r.proof, r.group_pos, r.group_proof) for r in out)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 256, 257, 700])
+def test_group_sizes(spark, n):
+    rows = [(i, "en" if i % 7 else f"l{i % 5}", f"t{i}") for i in range(n)]
+    assert found(spark, rows) == expected(rows)
+
+
+def test_several_rounds_of_blocks(spark, monkeypatch):
+    """Blocks of four nodes: five rounds, lone nodes at the end of levels, trees that end in different rounds."""
+    monkeypatch.setattr(merkle, "BLOCK", 4)
+    monkeypatch.setattr(merkle, "BITS", 2)
+    monkeypatch.setattr(merkle, "_SEGMENT", merkle._SEGMENT.replace("% 256", "% 4"))
+    rng = random.Random(1)
+    rows = [(i, rng.choice(["a"] * 40 + list("bcdefgh")), f"t{i}") for i in range(600)]
+    assert found(spark, rows) == expected(rows)
+
+
+def test_odd_rows(spark):
+    """Nulls in every column, an empty group's name, ties, repeated rows, long texts."""
+    rows = [(1, None, "a"), (None, None, None), (None, "en", "x"), (None, "en", "y"), (2, "", ""), (3, "-", "ü" * 9),
+            (3, "-", "other"), (4, "=", "long " * 100_000), (5, "z", None)] + [(6, "en", "copy")] * 300
+    assert found(spark, rows) == expected(rows)
+    assert found(spark, []) == []
+
+
+def test_a_changed_row_or_sibling_does_not_verify(spark):
+    rows = [(i, "en", f"t{i}") for i in range(20)]
+    frame = spark.createDataFrame([(*r, 1, "n") for r in rows], SCHEMA)
+    fields = [F.col("doc_id"), F.col("lang"), F.col("text")]
+    changed = merkle.leaf_digest(F.col("doc_id"), F.col("lang"), F.concat("text", F.lit("!")))
+    out = merkle.manifest(frame, fields, group=F.col("lang"), order=[F.col("doc_id")], keep=[changed.alias("changed")])
+    wrong = F.transform("proof", lambda x: F.reverse(x))
+    bad = out.select(
+        merkle.fold(F.col("changed"), F.col("pos"), F.col("proof")).alias("a"),
+        merkle.fold(F.col("leaf"), F.col("pos"), wrong).alias("b"), "root").collect()
+    assert len(bad) == 20 and all(r.root not in (r.a, r.b) for r in bad)

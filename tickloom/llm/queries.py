@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import (
-    bpe, embedding_dedup, html_text, jaccard_join, licenses, mixing, quality, sharding, topk_search, url_filter,
+    bpe, embedding_dedup, hard_negatives, html_text, jaccard_join, licenses, merkle, mixing, packing, quality, sharding,
+    topk_search, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,38 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier",
+        "step_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is wrong, as the contract has it."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest's proofs, checked against rows some of which are tampered with."""
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(n) for n in names]
+    tampered = [F.try_add("n_chars", F.lit(1).cast("bigint")) if n == "n_chars" else F.col(n) for n in names]
+    is_tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = merkle.manifest(
+        table(spark, sf_dir, "documents"), fields, group=F.col("lang"), order=[F.col("doc_id")],
+        keep=[F.col("doc_id"), F.when(is_tampered, merkle.leaf_digest(*tampered)).alias("tampered")])
+    shown = F.coalesce("tampered", "leaf")
+    folded = merkle.fold(merkle.fold(shown, F.col("pos"), F.col("proof")), F.col("group_pos"), F.col("group_proof"))
+    found = found.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.array_join(F.concat("proof", "group_proof"), ""), 256).alias("proof_sha256"),
+        folded.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def build_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -87,6 +120,9 @@ def build_queries() -> dict[str, Query]:
         "op8_html_text": op8_html_text,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+        "op11_packing": op11_packing,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -204,6 +240,81 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN
 """
 
 
+NEGATIVES_SQL = """
+WITH scaled AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM scaled a JOIN scaled b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS place FROM pairs WHERE same),
+negatives AS (
+  SELECT p.a AS anchor_id, p.b AS positive_id,
+    CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS INTEGER) AS rank,
+    n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON p.a = n.a AND NOT n.same
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+  WHERE p.place <= 5)
+SELECT * FROM negatives WHERE rank <= 10
+"""
+
+#: A CRC-32 bit by bit, since DuckDB has none.
+MERKLE_SQL = """
+WITH RECURSIVE rows_ AS (
+  SELECT row_number() OVER () AS id, *, CAST(doc_id AS VARCHAR) AS digits FROM documents),
+parts AS (
+  SELECT id, doc_id, lang,
+    coalesce(strlen(digits) || ':' || digits, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(digits) + 1), lambda i: ascii(digits[i]))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc
+  FROM rows_),
+leaves AS (
+  SELECT id, doc_id, lang, crc,
+    sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS tampered
+  FROM parts),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+tree AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS l FROM ranked GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(array_to_string(l[2*i+1:2*i+2], '')))
+  FROM tree WHERE len(l) > 1),
+groups AS (
+  SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM tree WHERE len(l) = 1),
+top AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS l FROM groups
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(array_to_string(l[2*i+1:2*i+2], '')))
+  FROM top WHERE len(l) > 1),
+steps AS (
+  SELECT r.id, t.level, (r.pos >> t.level) & 1 AS is_right, coalesce(t.l[xor(r.pos >> t.level, 1) + 1], '') AS sibling
+  FROM ranked r JOIN tree t ON r.lang IS NOT DISTINCT FROM t.lang WHERE len(t.l) > 1
+  UNION ALL
+  SELECT r.id, 1000 + t.level, (g.pos >> t.level) & 1, coalesce(t.l[xor(g.pos >> t.level, 1) + 1], '')
+  FROM ranked r JOIN groups g ON r.lang IS NOT DISTINCT FROM g.lang, top t WHERE len(t.l) > 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level) AS k FROM steps),
+folds AS (
+  SELECT id, CAST(0 AS BIGINT) AS k, CASE WHEN crc % 7 = 0 THEN tampered ELSE leaf END AS node FROM ranked
+  UNION ALL
+  SELECT f.id, s.k, sha256(CASE WHEN s.is_right = 1 THEN s.sibling || f.node ELSE f.node || s.sibling END)
+  FROM folds f JOIN numbered s ON s.id = f.id AND s.k = f.k + 1),
+folded AS (SELECT id, arg_max(node, k) AS folded_root FROM folds GROUP BY id),
+proofs AS (SELECT id, string_agg(sibling, '' ORDER BY k) AS proof FROM numbered GROUP BY id)
+SELECT r.doc_id, r.leaf, g.subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS root,
+  sha256(coalesce(p.proof, '')) AS proof_sha256, f.folded_root,
+  f.folded_root = (SELECT l[1] FROM top WHERE len(l) = 1) AS verified
+FROM ranked r JOIN groups g ON r.lang IS NOT DISTINCT FROM g.lang JOIN folded f USING (id) LEFT JOIN proofs p USING (id)
+"""
+
+
 def build_sql() -> dict[str, str]:
     return {
         "op2_embedding_dedup": EMBEDDING_SQL,
@@ -211,4 +322,6 @@ def build_sql() -> dict[str, str]:
         "op5_topk_search": TOPK_SQL,
         "op6_url_filter": URL_SQL,
         "op10_ngram_jaccard_join": JACCARD_SQL,
+        "op12_hard_negatives": NEGATIVES_SQL,
+        "op13_merkle_manifest": MERKLE_SQL,
     }
