@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.operators.bad_lines import Parsed, parse_lines, parse_responses
 from tickloom.plans.methods import RequestSpec, method_of
 from tickloom.sources.landing import landed_lines, partition_names
+from tickloom.sources.requests import Files, Http, Policy, fetch
 from tickloom.sources.responses import ALL, FORMAT, register
 from tickloom.sources.shared import written_once
 
@@ -86,6 +87,21 @@ def read_pairs(
     return _read_many(spark, spec, None if pairs is None else list(pairs), on_bad_line, options)
 
 
+def read_requests(
+    requests: DataFrame,
+    spec: RequestSpec,
+    transport: Http | Files,
+    journal: str | None = None,
+    *,
+    policy: Policy = Policy(),
+    on_bad_line: str = "quarantine",
+) -> Parsed:
+    """Bars and errors of a table of requests, both with the series keys; see ``tickloom.sources.requests``."""
+    responses = fetch(requests, spec, transport, journal, policy=policy)
+    return parse_responses(
+        responses, spec.method, zone=spec.zone, keys=partition_names(spec.method), on_bad_line=on_bad_line)
+
+
 def _read_one(spark, spec, series, on_bad_line, options) -> DataFrame:
     responses = read_responses(spark, spec, [series], **options)
     return parse_responses(

@@ -19,8 +19,9 @@ from tickloom.operators.resample import bars_from_bars, bars_from_ticks, with_pa
 from tickloom.operators.select import in_slice, latest_points, with_slice
 from tickloom.plans.local import series_from_ticks
 from tickloom.plans.methods import INTERVALS, METHODS, RequestSpec, method_of
-from tickloom.plans.read import read_forex, read_landing, read_pairs, read_symbols
+from tickloom.plans.read import read_forex, read_landing, read_pairs, read_requests, read_symbols
 from tickloom.plans.series import as_bars, as_series, csv_columns, csv_header, csv_line
+from tickloom.sources.requests import Files, fetch, request_table
 from tickloom.sources.shared import new_path, written_once
 
 ZONE = "UTC"
@@ -354,6 +355,35 @@ def source_file_slices(spark, sf_dir) -> DataFrame:
     return read_symbols(spark, spec, None, transport="file", path=root, slices="all").bars
 
 
+def symbols_of(ticks: DataFrame) -> DataFrame:
+    return ticks.select("symbol").distinct()
+
+
+def source_file_requests(spark, sf_dir) -> DataFrame:
+    """The same files by a table of requests, one for each symbol traded."""
+    root = landed(spark, sf_dir, "TIME_SERIES_DAILY")
+    spec = RequestSpec("TIME_SERIES_DAILY", zone=ZONE)
+    requests = request_table(symbols_of(lineitem_ticks(spark, sf_dir)), spec)
+    return read_requests(requests, spec, Files(root)).bars
+
+
+def source_resumed(spark, sf_dir) -> DataFrame:
+    """A journal that already holds some symbols' responses: only the others are read, all are returned."""
+    root, journal = landed(spark, sf_dir, "TIME_SERIES_DAILY"), new_path(spark, "journal")
+    spec = RequestSpec("TIME_SERIES_DAILY", zone=ZONE)
+    requests = request_table(symbols_of(lineitem_ticks(spark, sf_dir)), spec)
+    fetch(requests.filter("symbol < 'R'"), spec, Files(root), journal)
+    return read_requests(requests, spec, Files(root), journal).bars
+
+
+def slice_requests(spark, sf_dir) -> Parsed:
+    """A request for every symbol and slice, also for slices without data."""
+    root = landed(spark, sf_dir, "TIME_SERIES_INTRADAY_EXTENDED")
+    spec = RequestSpec("TIME_SERIES_INTRADAY_EXTENDED", zone=ZONE, interval="60min")
+    requests = request_table(symbols_of(event_ticks(spark, sf_dir)), spec, slices="all")
+    return read_requests(requests, spec, Files(root))
+
+
 # Bodies
 
 
@@ -541,6 +571,10 @@ def build_queries() -> dict[str, Query]:
     found["source_file_fx"] = source_file_fx
     found["source_file_forex"] = source_file_forex
     found["source_file_slices"] = source_file_slices
+    found["source_file_requests"] = source_file_requests
+    found["source_resumed"] = source_resumed
+    found["source_requests_slices"] = lambda s, d: slice_requests(s, d).bars
+    found["source_requests_errors"] = lambda s, d: slice_requests(s, d).errors.select("symbol", "slice", "reason")
     found["json_body_misfit"] = lambda s, d: misfit_json(s, d).bodies.select("response_id", F.col("json.k").alias("k"))
     found["json_body_misfit_errors"] = lambda s, d: misfit_json(s, d).errors
     return found

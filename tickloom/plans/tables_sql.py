@@ -305,7 +305,12 @@ def build_sql() -> dict[str, str]:
     sql["source_file_forex"] = (
         f"SELECT \"timestamp\", open, high, low, close FROM ({sql['source_file_fx']}) "
         "WHERE from_symbol = 'N' AND to_symbol = 'O'")
-    sql["source_file_slices"] = EXTENDED
+    sql["source_file_slices"] = sql["source_requests_slices"] = EXTENDED
+    sql["source_file_requests"] = sql["source_resumed"] = line_bars("day")
+    sql["source_requests_errors"] = (
+        "SELECT symbol, 'year' || y || 'month' || m AS slice, 'status 404 Not Found' AS reason "
+        "FROM (SELECT DISTINCT event_type AS symbol FROM events), range(1, 3) years(y), range(1, 13) months(m) "
+        f"WHERE (symbol, 'year' || y || 'month' || m) NOT IN (SELECT (symbol, slice) FROM ({EXTENDED}))")
     sql["json_body_misfit"] = (
         "SELECT event_id AS response_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events "
         "WHERE event_id % 5 <> 0 AND event_id % 7 <> 0")

@@ -66,7 +66,7 @@ def file_get(location: str) -> tuple:
         return None, f"no response: {failed.strerror or failed}", None
 
 
-def _local_path(location: str) -> str:
+def local_path(location: str) -> str:
     """A plain path of a path or ``file:`` URI."""
     scheme = location.split(":/", 1)[0] if ":/" in location else "file"
     if scheme != "file":
@@ -79,6 +79,17 @@ def _escaped(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _PATH_SPECIALS else c for c in value)
 
 
+def landed_files(root: str, method: str, series: tuple[str, ...], slice_name: str | None) -> list[tuple[str, str]]:
+    """(name, path) of a landed series' files; its folder if that cannot be listed, to be read as an error row."""
+    values = dict(zip(method_of(method).keys, series), slice=slice_name)
+    folder = os.path.join(
+        root, method, *(f"{name}={_escaped(values[name])}" for name in partition_names(method)))
+    try:
+        return sorted((e.name, e.path) for e in os.scandir(folder) if e.is_file() and e.name[0] not in "._")
+    except OSError:
+        return [(os.path.basename(folder), folder)]
+
+
 def _items(text: str | None) -> list[str]:
     if (text or "").lstrip().startswith("["):
         return [str(item) for item in json.loads(text)]
@@ -112,7 +123,7 @@ class BarResponseReader(DataSourceReader):
         if not options.get(needed):
             raise ValueError(f"transport {self.transport!r} needs the option {needed!r}")
         base = options.get(needed)
-        self.base = _local_path(base) if self.transport == "file" else base
+        self.base = local_path(base) if self.transport == "file" else base
         self.series = self._series(options)
         self.slices = self._slices(options)
         self.headers = {
@@ -174,16 +185,8 @@ class BarResponseReader(DataSourceReader):
         """Files of a request that fall to a part of it, listed by the part's task."""
         if self.transport == "http":
             return [""]
-        values = dict(zip(self.method.keys, series), slice=slice_name)
-        names = partition_names(self.method.name)
-        folder = os.path.join(
-            self.base, self.method.name, *(f"{name}={_escaped(values[name])}" for name in names)
-        )
-        try:
-            found = sorted(e.path for e in os.scandir(folder) if e.is_file() and e.name[0] not in "._")
-        except OSError:
-            found = [folder]  # read as an error row
-        return found[part::self.files_split]
+        files = landed_files(self.base, self.method.name, series, slice_name)
+        return [path for _, path in files][part::self.files_split]
 
     def partitions(self) -> list[InputPartition]:
         """Plain tuples (series, slice, part), as there may be very many requests."""

@@ -33,6 +33,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, path: str | None = None) -> None:
     """Delete one written table, or all that this application wrote; frames on them cannot be read again."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path or _own_folder(spark))
