@@ -21,6 +21,7 @@ from tickloom.plans.local import series_from_ticks
 from tickloom.plans.methods import INTERVALS, METHODS, RequestSpec, method_of
 from tickloom.plans.read import read_forex, read_landing, read_pairs, read_requests, read_symbols
 from tickloom.plans.series import as_bars, as_series, csv_columns, csv_header, csv_line
+from tickloom.plans.store import BarStore
 from tickloom.sources.requests import Files, fetch, request_table
 from tickloom.sources.shared import new_path, written_once
 
@@ -148,6 +149,35 @@ def served(method: str, **request) -> Query:
     return query
 
 
+# Bars out of states that arrive in batches
+
+
+def stored_days(spark, sf_dir, adjusted: bool = False) -> BarStore:
+    """Daily states of all trades in three batches that share every day, one sent twice, merged once in between."""
+    columns = {"adj_close": "adj_close", "dividend": "dividend_amount"} if adjusted else {}
+    store = BarStore(
+        spark, new_path(spark, "states"), "day", tie_break=LINEITEM_ORDER, volume="volume", **columns)
+    ticks = lineitem_ticks(spark, sf_dir)
+    store.append(ticks.filter("linenumber > 4"), "late-lines")
+    store.append(ticks.filter("linenumber BETWEEN 3 AND 4"), "middle-lines")
+    store.compact()
+    store.append(ticks.filter("linenumber < 3"), "first-lines")
+    store.append(ticks.filter("linenumber > 4"), "late-lines")
+    return store
+
+
+def stored_5min(spark, sf_dir) -> BarStore:
+    """Five-minute states of a batch for each third of the values."""
+    store = BarStore(spark, new_path(spark, "states"), "5min", tie_break=("event_id",), volume="volume")
+    ticks = event_ticks(spark, sf_dir)
+    low, high = ticks.agg(F.percentile_approx("price", [0.33, 0.67])).first()[0] or (0.0, 0.0)
+    unpriced = F.col("price").isNull()
+    store.append(ticks.filter(F.col("price") > high), "high")
+    store.append(ticks.filter(unpriced | (F.col("price") <= low)), "low")
+    store.append(ticks.filter((F.col("price") > low) & (F.col("price") <= high)), "middle")
+    return store
+
+
 # Bars as CSV, read back
 
 
@@ -528,6 +558,15 @@ def build_queries() -> dict[str, Query]:
     found["served_extended_slice_adj"] = served("TIME_SERIES_INTRADAY_EXTENDED", interval="30min", adjusted=True)
     found["served_weekly_adj"] = served("TIME_SERIES_WEEKLY_ADJUSTED", output_size="full")
     found["served_monthly_adj"] = served("TIME_SERIES_MONTHLY_ADJUSTED", output_size="full")
+    for name, period in (("daily", None), ("weekly", "week"), ("monthly", "month")):
+        found[f"stored_{name}"] = _series(
+            lambda s, d, p=period: stored_days(s, d).bars(p), f"TIME_SERIES_{name.upper()}")
+    found["stored_weekly_adj"] = _series(
+        lambda s, d: stored_days(s, d, adjusted=True).bars("week"), "TIME_SERIES_WEEKLY_ADJUSTED")
+    found["stored_changes"] = _series(
+        lambda s, d: stored_days(s, d).changed("first-lines"), "TIME_SERIES_DAILY")
+    found["stored_intraday"] = _series(lambda s, d: stored_5min(s, d).bars(), "TIME_SERIES_INTRADAY")
+    found["stored_intraday_60min"] = _series(lambda s, d: stored_5min(s, d).bars("60min"), "TIME_SERIES_INTRADAY")
     for name in ("year1month1", "year1month2", "year2month12"):
         found[f"slice_{name}"] = slice_query(name)
     found["slices_all"] = all_slices

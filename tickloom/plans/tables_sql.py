@@ -250,6 +250,14 @@ def build_sql() -> dict[str, str]:
             sql[f"{name}_from_daily"] = line_bars(period)
             sql[f"partial_{name}"] = partial(period)
             sql[f"parse_time_series_{name}_adjusted"] = line_bars(period, adjusted=True)
+    for name, period in (("daily", "day"), ("weekly", "week"), ("monthly", "month")):
+        sql[f"stored_{name}"] = line_bars(period)
+    sql["stored_weekly_adj"] = line_bars("week", adjusted=True)
+    sql["stored_changes"] = (
+        f"SELECT * FROM ({line_bars('day')}) WHERE (symbol, \"timestamp\") IN "
+        f"(SELECT (l_returnflag, epoch_ms({LINE_DAY})) FROM lineitem WHERE l_linenumber < 3)")
+    sql["stored_intraday"] = event_bars(5, volume=True)
+    sql["stored_intraday_60min"] = event_bars(60, volume=True)
     sql["daily_adj"] = sql["parse_time_series_daily_adjusted"] = DAILY_ADJ
     sql["intraday_adj"] = INTRADAY_ADJ
     sql["slice_year1month1"] = line_slice(1)

@@ -33,15 +33,36 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str) -> tuple:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, those of unfinished things aside; none if there is no folder."""
+    files, target = _located(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(n for s in files.listStatus(target) if (n := s.getPath().getName())[0] not in "._")
+
+
+def moved(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a complete folder; False if the new name is taken."""
+    files, source = _located(spark, path)
+    _, target = _located(spark, to)
+    files.mkdirs(target.getParent())
+    return not files.exists(target) and files.rename(source, target)
 
 
 def discard(spark: SparkSession, path: str | None = None) -> None:
     """Delete one written table, or all that this application wrote; frames on them cannot be read again."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path or _own_folder(spark))
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _located(spark, path or _own_folder(spark))
+    files.delete(target, True)
 
 
 def written_once(df: DataFrame, name: str) -> DataFrame:
