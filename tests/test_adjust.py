@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tickloom.operators.adjust import adjust_intraday, daily_with_events, with_adj_close, with_factor
+from tickloom.operators.adjust import (
+    adjust_intraday, daily_with_events, factor_spans, with_adj_close, with_factor,
+)
 
 DAILY = "symbol string, ts date, open double, high double, low double, close double, volume bigint"
 EVENTS = "symbol string, ts date, dividend_amount double, split_coefficient double"
@@ -147,8 +149,39 @@ def test_dates_without_a_daily_row_and_null_keys(spark):
     assert found == {(k, d): 5.0 if k != "B" and d < 5 else 10.0 for k in ("A", None, "B") for d in (1, 2, 5, 6)}
 
 
+def test_dates_before_the_floor(spark):
+    """Events and bars on both sides of it."""
+    when = [date(1950, 3, 1), date(1950, 3, 9), date(1980, 1, 1), date(1989, 12, 31), date(1990, 1, 1), date(1990, 1, 2), date(2000, 5, 5)]
+    daily = spark.createDataFrame(
+        [("A", d, 1.0, 1.0, 1.0, 10.0, 1, 0.0, 2.0 if i % 2 else 1.0) for i, d in enumerate(when)],
+        DAILY + ", dividend_amount double, split_coefficient double")
+    bars = spark.createDataFrame(
+        [("A", datetime(d.year, d.month, d.day) + timedelta(days=n), 64.0, 64.0, 64.0, 64.0, 1) for d in when for n in (-20, 0, 3)],
+        DAILY.replace("ts date", "ts timestamp_ntz"))
+    for row in adjust_intraday(bars, daily).collect():
+        assert row.open == 64.0 / 2 ** sum(d > row.ts.date() for d in when[1::2])
+
+
 def test_a_repeated_date_is_refused(spark):
     daily = spark.createDataFrame(
         [("A", day(0), 1.0, 1.0, 1.0, 10.0, 1, 0.0, 1.0)] * 2, DAILY + ", dividend_amount double, split_coefficient double")
     with pytest.raises(Exception, match="two daily bars"):
         with_factor(daily).collect()
+    with pytest.raises(Exception, match="two daily bars"):
+        factor_spans(daily).collect()
+
+
+def test_spans_between_events(spark, series):
+    """One row for each event day, whatever the number of bars, and no window over bars."""
+    daily, events = frames(spark, series)
+    merged = daily_with_events(daily, events)
+    spans = factor_spans(merged)
+    found, factors = spans.collect(), by_hand(*series)
+    assert len(found) == merged.filter("dividend_amount <> 0 OR split_coefficient <> 1").count()
+    for (symbol, date_), factor in factors.items():
+        inside = [s.factor for s in found if s.symbol == symbol and (s.start is None or s.start <= date_) and date_ < s.end]
+        assert (inside or [1.0]) == [pytest.approx(factor, rel=1e-12)]
+    plan = plan_of(adjust_intraday(daily.withColumn("ts", F.col("ts").cast("timestamp_ntz")), merged))
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert windows and all("ts" not in w.split("windowspecdefinition")[0] or "lag(" in w or "product" in w or "_bar" in w
+                           for w in windows)
