@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SMALL
 from llm_fixtures import documents  # noqa: F401
@@ -118,3 +119,15 @@ def test_components_of_a_path_and_a_star(spark):
     result = components(spark.createDataFrame(links, "u bigint, v bigint")).collect()
     assert {(r.node, r.root) for r in result} == {(i, 0) for i in range(1, 201)} | {(i, 1000) for i in range(1001, 1100)}
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_rows_without_ids_make_no_pairs(spark, documents):
+    """Many different texts without an id, or with the same one: each class is read from its own row."""
+    texts = [" ".join(f"{x}{i}" for i in range(30)) for x in range(60)]
+    rows = [(i, t) for t in texts for i in (None, 7)] + [(None, t + " end") for t in texts] + [(100, texts[0] + " and end")]
+    found = jaccard_join.near_duplicates(documents(*rows)).collect()
+    assert {r.component_id for r in found if r.n_shingles} == {7}
+    joined = jaccard_join.jaccard_links(documents(*rows))
+    assert joined.links.count() >= 61
+    docs = documents(*rows).selectExpr("doc_id", "text", "xxhash64(text) AS digest")
+    assert docs.join(docs.selectExpr("doc_id AS d", "digest AS e"), F.expr("doc_id <=> d AND digest = e")).count() == len(rows)

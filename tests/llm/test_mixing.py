@@ -62,3 +62,29 @@ def test_one_long_document_is_cut_to_the_word(spark, documents):
     assert {r.doc_id: r.taken for r in mixed.collect()} == {1: 13_333, 2: 26_667}
     text = spark.range(1).select(mixing.first_words(F.lit(" a  b\tc\nd "), F.lit(3)).alias("t")).first().t
     assert text == " a  b\tc"
+
+
+def test_rows_of_one_id_do_not_depend_on_the_order_of_the_input(spark, documents):
+    rows = [(1, "a b c d", "s"), (1, "e f g h", "s"), (None, "i j k", "s"), (None, "l m n", "s"), (2, "o " * 30, "t"), (3, "p", "u")]
+    found = [
+        sorted(str((r.doc_id, r.kept.text, r.taken, r.times)) for r in mixing.mix(frame, keep=("text",)).collect())
+        for frame in (documents(*rows), documents(*reversed(rows)), documents(*rows).repartition(5))]
+    assert found[0] == found[1] == found[2]
+
+
+def test_whole_cuts(spark, documents):
+    rows = [(i, "w " * (i % 9 + 1), s) for s in "abc" for i in range(100)] + [(900, "v " * 2000, "d"), (901, "v", "d")]
+    mixed = mixing.mix(documents(*rows), keep=("source",))
+    before = {r.doc_id if r.doc_id >= 900 else (r.source, r.doc_id): r for r in mixed.collect()}
+    after = {r.doc_id if r.doc_id >= 900 else (r.source, r.doc_id): r for r in mixing.with_whole_cuts(mixed).collect()}
+    cut = {k: r for k, r in before.items() if 0 < r.part < r.size}
+    assert cut and before.keys() == after.keys()
+    for k, r in after.items():
+        old = before[k]
+        if k in cut and r.size <= r.target:
+            assert r.part in (0, r.size) and abs(r.part - old.part) <= r.size / 2
+        else:
+            assert r.part == old.part
+        assert len(r.times) == (r.whole + (r.part > 0) if r.size else 0) and r.times == old.times[:len(r.times)]
+        assert r.taken == r.whole * r.size + r.part <= 3 * r.size
+    assert any(0 < r.part < r.size for r in after.values()) == any(r.size > r.target for r in cut.values())

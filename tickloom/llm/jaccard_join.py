@@ -24,7 +24,8 @@ bitmaps. A bitmap holds the parity of the number of tokens in each of ``CELLS``
 least as many tokens as their bitmaps in bits.
 
 Cases: null and empty texts have no shingles and link with nothing; repeated rows
-are one class; a null id is a row like any other and never names a component; other columns
+are one class; a null id is a row like any other and never names a component; rows that share an id are told apart by their
+text, so neither a null nor a repeated id makes pairs; other columns
 are ignored; an empty table gives an empty result.
 """
 
@@ -184,12 +185,13 @@ def _often(held: list[np.ndarray]) -> pa.RecordBatch:
     token, count = np.unique(np.concatenate(held), return_counts=True)
     often = count >= FREQUENT_IN_WINDOW
     token, count = token[often].astype(np.int64), count[often].astype(np.int64)
+    none = pa.array(np.zeros(len(token), np.int64))
     return pa.RecordBatch.from_arrays([
-        pa.array(np.ones(len(token), np.int8)), pa.array(token), pa.array(count),
-        pa.array(np.zeros(len(token), np.int64)), pa.nulls(len(token), pa.list_(pa.int64()))], _DESCRIBED)
+        pa.array(np.ones(len(token), np.int8)), pa.array(token), none, pa.array(count), none,
+        pa.nulls(len(token), pa.list_(pa.int64()))], _DESCRIBED)
 
 
-_DESCRIBED = ["kind", "doc_id", "n_shingles", "set_id", "bits"]
+_DESCRIBED = ["kind", "doc_id", "digest", "n_shingles", "set_id", "bits"]
 
 
 def _parities(sets) -> pa.Array:
@@ -207,12 +209,12 @@ def _describe(batches):
     """Per document its size and set id; per window of different sets its frequent tokens, as kind 1."""
     fresh, held, n_held = _Fresh(), [], 0
     for batch in batches:
-        ids = batch.column(0)
+        ids, digests = batch.column(0), batch.column(2)
         for sets in token_sets(batch.column(1)):
             n = sets.last - sets.first
             empty = pa.array(sets.size == 0)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.zeros(n, np.int8)), ids.slice(sets.first, n), pa.array(sets.size),
+                pa.array(np.zeros(n, np.int8)), ids.slice(sets.first, n), digests.slice(sets.first, n), pa.array(sets.size),
                 pa.compute.if_else(empty, pa.scalar(None, pa.int64()), pa.array(sets.set_id)), _parities(sets),
             ], _DESCRIBED)
             held.append(sets.token[fresh(sets.set_id)[sets.doc]])
@@ -350,10 +352,13 @@ def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     """(set_id, tokens) of every class in a pair, read again from one document of each."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     wanted = written_once(
-        wanted.join(classes, "set_id").select("set_id", F.col("first_id").alias("_first")), "wanted")
-    # Two longs a row: broadcast up to 32 MB, else shuffled.
-    side = F.broadcast(wanted) if wanted.count() <= 1 << 21 else wanted
-    found = docs.select("doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("_first")))
+        wanted.join(classes, "set_id").select(
+            "set_id", F.col("first.doc_id").alias("_first"), F.col("first.digest").alias("_digest")), "wanted")
+    # Three longs a row: broadcast up to 32 MB, else shuffled. The id keeps most copies of a text out, the digest tells rows
+    # of one id, or of none, apart.
+    side = F.broadcast(wanted) if wanted.count() <= 1 << 20 else wanted
+    found = docs.select("doc_id", "text", "digest").join(
+        side, F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("digest") == F.col("_digest")))
     read = found.select("set_id", "text").mapInArrow(_sets, "set_id bigint, tokens array<bigint>")
     return written_once(read.dropDuplicates(["set_id"]), "sets")
 
@@ -432,14 +437,17 @@ def jaccard_links(documents: DataFrame) -> Joined:
     group that is already connected are left out.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    docs = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest"))
     described = written_once(docs.mapInArrow(
-        _describe, "kind tinyint, doc_id bigint, n_shingles bigint, set_id bigint, bits array<bigint>"), "described")
+        _describe, "kind tinyint, doc_id bigint, digest bigint, n_shingles bigint, set_id bigint, bits array<bigint>"), "described")
     info = described.filter("kind = 0").drop("kind")
+    # One row's id and text stand for a class.
     classes = written_once(
         info.filter("set_id IS NOT NULL").groupBy("set_id").agg(
-            F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("size"),
-            F.max("bits").alias("bits")), "classes")
+            F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "digest")).alias("first"),
+            F.max("n_shingles").alias("size"), F.max("bits").alias("bits")), "classes")
     tokens = described.filter("kind = 1").groupBy("doc_id").agg(F.sum("n_shingles").alias("n"))
     tokens = tokens.orderBy(F.desc("n"), "doc_id").limit(FREQUENT)
     frequent = np.array([row[0] for row in tokens.select("doc_id").collect()], np.int64)

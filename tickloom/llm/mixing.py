@@ -12,15 +12,15 @@ reaches its place in the queue. Sorting by that time gives the training order.
 
 Whole passes go to every document of a source, and one more to the head of its
 queue; the document at the cut gives only its first words. So a source's taken words are
-its target to the nearest word.
+its target to the nearest word. ``with_whole_cuts`` takes or leaves that document as a whole instead.
 
 The queue is summed in ``SLICES`` hash slices of each source, then within each slice, so a
 source with most of the rows is spread over as many tasks. Nothing but a few totals
 reaches the driver.
 
 Cases: a null text has no words, a document without words takes none and has no place in the order;
-null ids queue like others; equal rows queue together and which of them is cut does not change
-the rows returned; sources without words have target 0; an empty table gives an empty result; columns named like
+null ids queue like others; rows of one id and size queue by a digest of their text, then of their kept columns, so the rows
+returned do not depend on the order of the input; sources without words have target 0; an empty table gives an empty result; columns named like
 the result's are kept apart in a struct.
 """
 
@@ -105,7 +105,8 @@ def mix(documents: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     size = words(F.col("text"))
     # A struct has a field at least.
     kept = F.struct(*[F.col(n) for n in keep] or [F.lit(0).alias("none")])
-    sized = documents.select("doc_id", "source", size.alias("size"), kept.alias("kept"))
+    sized = documents.select(
+        "doc_id", "source", size.alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("_digest"), kept.alias("kept"))
     text = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("size").cast("string"))
     order = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     queued = sized.withColumn("_order", order).withColumn("_slice", F.shiftright("_order", _SHIFT).cast("int"))
@@ -119,7 +120,8 @@ def mix(documents: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     plan = placed.alias("p").join(found.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(
         F.col("p.source").alias("_source"), F.col("_slice").alias("_of"), "_before", "source_size", "target", "ramp")
     plan = written_once(plan, "plan")
-    within = Window.partitionBy("source", "_slice").orderBy("_order", "doc_id", "size").rowsBetween(
+    within = Window.partitionBy("source", "_slice").orderBy(
+        "_order", "doc_id", "size", "_digest", F.xxhash64("kept")).rowsBetween(
         Window.unboundedPreceding, -1)
     ran = queued.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = ran.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_slice") == F.col("_of")))
@@ -139,6 +141,20 @@ def mix(documents: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
         times.alias("times"), "kept")
 
 
+def with_whole_cuts(mixed: DataFrame) -> DataFrame:
+    """The document at a source's cut is taken whole if that is nearer to the target, else left.
+
+    Only a document that is longer than its source's whole target still gives its first words.
+    """
+    goal = F.floor(F.col("target") + 0.5)
+    cut = (F.col("part") > 0) & (F.col("part") < F.col("size")) & (F.col("size") <= goal)
+    part = F.when(cut, F.when(F.col("part") * 2 >= F.col("size"), F.col("size")).otherwise(0)).otherwise(F.col("part"))
+    passes = (F.size("times") - (cut & (part == 0)).cast("int"))
+    return mixed.withColumns({
+        "taken": F.col("whole") * F.col("size") + part, "part": part,
+        "times": F.slice("times", F.lit(1), passes)})
+
+
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """One row per pass over a document, sorted by time: its words and, in ``kept``, its columns."""
     passes = mixed.select("*", F.posexplode("times").alias("number", "time"))
