@@ -27,29 +27,30 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id.
+    """One row of each group of near duplicates stays: that with the smallest id, null ids last.
 
-    Documents without words link with nothing and stay, as do rows without an id. Rows that repeat an
-    id and its text are one document.
+    Rows are told apart by their place in the table, so repeated and missing ids count row by row. Documents without words link
+    with nothing and stay.
     """
-    found = jaccard_join.near_duplicates(docs).filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
-    repeated = written_once(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").withColumn("_text", F.md5("text"))
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(
-        once.dropDuplicates(["doc_id", "_text"]).drop("_text"))
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    found = jaccard_join.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).filter("n_shingles > 0")
+    grouped = rows.select("_row", "doc_id").join(
+        found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "_row")
+    grouped = written_once(grouped, "grouped")
+    first = grouped.groupBy("_group").agg(
+        F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "_row")).alias("first"), F.count("*").alias("n"))
+    first = first.filter("n > 1").select("_group", F.col("first._row").alias("_kept"))
+    dropped = written_once(grouped.join(first, "_group").filter("_row <> _kept").select("_row"), "dropped")
+    return rows.join(dropped, "_row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each pass of the mix over a document, in training order.
 
-    A document at a source's cut has only the words the mix takes of it; documents the mix does not take, and those
-    without words, go.
+    The document at a source's cut is taken whole or left, whichever is nearer to the target; one that is longer than its source's
+    whole target has only the words the mix takes of it. Documents the mix does not take, and those without words, go.
     """
-    mixed = mixing.in_training_order(mixing.mix(docs, keep=COLUMNS))
+    mixed = mixing.in_training_order(mixing.with_whole_cuts(mixing.mix(docs, keep=COLUMNS)))
     text = F.when(F.col("words") < F.col("size"), mixing.first_words(F.col("kept.text"), F.col("words")))
     rows = mixed.withColumn("_text", text)
     return rows.select(
