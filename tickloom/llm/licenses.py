@@ -1,7 +1,7 @@
 """Licences and licence notices found by digests of whole normalised texts.
 
-A text is normalised so that copies which mean the same read the same: A-Z lower case, lines that
-begin with a copyright mark or only reserve all rights gone, quotes, dashes and other punctuation and all white space one space, and
+A text is normalised so that copies which mean the same read the same: A-Z lower case, copyright statements (to the end of
+their line, or to the words that begin the terms) and lines that only reserve all rights gone, quotes, dashes and other punctuation and all white space one space, and
 equivalent spellings made equal. Its digest is then joined with those of known texts. Three
 kinds of text are looked up: each document as a whole, each of its lines, and each block of lines between blank lines,
 so that a notice may be wrapped. All joins are equalities with the table of known digests, which is broadcast only while small.
@@ -24,9 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Known texts are broadcast up to so many rows, some 20 MB.
 BROADCAST_TEXTS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line of running text may begin with the word, so a statement's next sign or year is asked for too.
-_COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:copyright[ \t:]*(?:\(c\)|©|\d{4}|by\b)|\(c\)|©)[^\n]*$"
-_COPYRIGHT_LINE += r"|(?m)^[ \t#*/;%-]*all rights reserved[ \t.*/]*\r?$"
+#: Words that begin a licence's terms; a copyright statement ends before them, or with its line.
+_STARTS = (r"everyone\s+is|permission\s+(?:is|to)\b|redistribution\s+and|licen[cs]ed\s+under|all\s+rights\s+reserved|"
+           r"this\s+(?:is\s+free|program|library|software|file|work|license)\b")
+#: A sign alone may be a clause's letter, so a year is asked for; after the word, a sign, a year or "by".
+_COPYRIGHT = r"(?:copyright[ \t:]*(?:\(c\)|©|\d{4}|by\b)|(?m:^)[ \t#*/;%-]*(?:\(c\)|©)[ \t]*(?:copyright[ \t]*)?\d{4})"
+_COPYRIGHT_LINE = _COPYRIGHT + rf"[^\n]*?(?=\n|\z|{_STARTS})"
+_COPYRIGHT_LINE += r"|(?m:^)[ \t#*/;%-]*all rights reserved[ \t.*/]*(?m:\r?$)"
 _NOT_WORD = r"[^\p{L}\p{N}+]+"
 
 #: Equivalent spellings, after case and punctuation are gone.
@@ -138,6 +142,8 @@ def known_texts(spark: SparkSession) -> DataFrame:
         # The terms end before or with this line.
         terms, end, _ = text.partition(_END)
         whole += [(path.stem, t) for t in dict.fromkeys((text, terms, terms + end))]
+    # Copies often have each paragraph on one line.
+    whole += [(spdx, re.sub(r"(?<!\n)\n(?![ \t]*\n)[ \t]*", " ", text)) for spdx, text in list(whole)]
     # Clauses of BSD texts come with numbers or with other marks.
     whole += [(spdx, re.sub(r"(?m)^\d\. ", "- ", text)) for spdx, text in TEXTS if spdx.startswith("BSD")]
     titles = dict(TITLES)
