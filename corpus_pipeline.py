@@ -50,12 +50,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The document at a source's cut is taken whole or left, whichever is nearer to the target; one that is longer than its source's
     whole target has only the words the mix takes of it. Documents the mix does not take, and those without words, go.
     """
-    mixed = mixing.in_training_order(mixing.with_whole_cuts(mixing.mix(docs, keep=COLUMNS)))
-    text = F.when(F.col("words") < F.col("size"), mixing.first_words(F.col("kept.text"), F.col("words")))
-    rows = mixed.withColumn("_text", text)
-    return rows.select(
-        "kept.doc_id", F.coalesce("_text", "kept.text").alias("text"), "kept.lang", "kept.source",
-        F.coalesce(F.length("_text").cast("bigint"), "kept.n_chars").alias("n_chars"))
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    # The mix is made of sizes and row numbers; the texts join it once.
+    mixed = mixing.in_training_order(mixing.with_whole_cuts(mixing.mix(rows, keep=("_row",))))
+    passes = written_once(mixed.select("kept._row", "size", "number", "time", "words"), "passes")
+    first = mixing.first_words(F.col("text"), F.col("words"))
+    joined = passes.join(rows, "_row").withColumn("_first", F.when(F.col("words") < F.col("size"), first))
+    return joined.orderBy("time", "doc_id", "number").select(
+        "doc_id", F.coalesce("_first", "text").alias("text"), "lang", "source",
+        F.coalesce(F.length("_first").cast("bigint"), "n_chars").alias("n_chars"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
