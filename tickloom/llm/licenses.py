@@ -28,9 +28,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _STARTS = (r"everyone\s+is|permission\s+(?:is|to)\b|redistribution\s+and|licen[cs]ed\s+under|all\s+rights\s+reserved|"
            r"this\s+(?:is\s+free|program|library|software|file|work|license)\b")
 #: A sign alone may be a clause's letter, so a year is asked for; after the word, a sign, a year or "by".
-_COPYRIGHT = r"(?:copyright[ \t:]*(?:\(c\)|©|\d{4}|by\b)|(?m:^)[ \t#*/;%-]*(?:\(c\)|©)[ \t]*(?:copyright[ \t]*)?\d{4})"
-_COPYRIGHT_LINE = _COPYRIGHT + rf"[^\n]*?(?=\n|\z|{_STARTS})"
-_COPYRIGHT_LINE += r"|(?m:^)[ \t#*/;%-]*all rights reserved[ \t.*/]*(?m:\r?$)"
+_TO_END = rf"[^\n]*?(?=\n|\z|{_STARTS})"
+_COPYRIGHT_LINE = (
+    rf"copyright[ \t:]*(?:\(c\)|©|\d{{4}}|by\b){_TO_END}|"
+    rf"(?m:^)[ \t#*/;%-]*(?:(?:\(c\)|©)[ \t]*(?:copyright[ \t]*)?\d{{4}}{_TO_END}|all rights reserved[ \t.*/]*(?m:\r?$))")
 _NOT_WORD = r"[^\p{L}\p{N}+]+"
 
 #: Equivalent spellings, after case and punctuation are gone.
@@ -154,8 +155,14 @@ def known_texts(spark: SparkSession) -> DataFrame:
 
 def normal(text: Column) -> Column:
     """A text without case, copyright lines, punctuation and variant spellings; null for a null."""
-    lower = F.translate(text, _UPPER, _LOWER)
-    words = F.regexp_replace(F.regexp_replace(lower, _COPYRIGHT_LINE, " "), _NOT_WORD, " ")
+    def without_statements(lower: Column) -> Column:
+        marked = F.contains(lower, F.lit("copyright")) | F.contains(lower, F.lit("(c)")) | F.contains(lower, F.lit("©")) | (
+            F.contains(lower, F.lit("all rights reserved")))
+        return F.when(marked, F.regexp_replace(lower, _COPYRIGHT_LINE, " ")).otherwise(lower)
+
+    # By way of an array, so that the text is lowered once.
+    lower = F.transform(F.array(F.translate(text, _UPPER, _LOWER)), without_statements)
+    words = F.regexp_replace(F.get(lower, F.lit(0)), _NOT_WORD, " ")
     spelt = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
     for variant, usual in SPELLINGS:
         spelt = F.replace(spelt, F.lit(f" {variant} "), F.lit(f" {usual} "))
