@@ -128,3 +128,36 @@ def test_block_keeps_k_besides_the_own_row():
         "asks": [True] + [False] * 31, "query": [7] + [0] * 31, "id": [31, *range(1, 32)], "v": [v[-1], *v]})
     found = topk_search._search(20)(table)
     assert found.column("vec_id").to_pylist() == list(range(30, 10, -1))
+
+
+def test_sketches_of_pairs_at_the_threshold():
+    rng = np.random.default_rng(6)
+    a, b = rng.normal(size=(2, 20000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    near = 0.9 * a + np.sqrt(1 - 0.81) * b
+    limit = embedding_dedup.sketch_limit(0.9)
+    words = [embedding_dedup.sketches(x).view(np.uint64) for x in (a, near, b)]
+    assert (embedding_dedup._differing(words[0], words[1]) <= limit).all()
+    assert (embedding_dedup._differing(words[0], words[2]) <= limit).mean() < 1e-3
+
+
+@pytest.mark.parametrize("small", [2, 48])
+def test_near_rows_equal_brute_force(monkeypatch, small):
+    monkeypatch.setattr(embedding_dedup, "_SMALL", small)
+    rng = np.random.default_rng(7)
+    groups = [(b, lo, hi) for b in range(3) for lo, hi in ((0, 0), (0, 1), (1, 1))]
+    rows = [(*g, part, i, *rng.integers(0, 4, 2)) for g in groups for part in sorted({g[1], g[2]})
+            for i in range(rng.integers(1, 9))]
+    table = embedding_dedup.pa.table({n: [int(r[k]) for r in rows] for k, n in enumerate(
+        ("bucket", "lo", "hi", "part", "id", "s0", "s1"))})
+    found = embedding_dedup._near_rows(table, 1)
+
+    def near(i, j):
+        a, b = rows[i], rows[j]
+        bits = (int(a[5]) ^ int(b[5])).bit_count() + (int(a[6]) ^ int(b[6])).bit_count()
+        other = small > 2 or a[1] == a[2] or a[3] != b[3]
+        return i != j and a[:3] == b[:3] and bits <= 1 and other
+
+    assert found.tolist() == [any(near(i, j) for j in range(len(rows))) for i in range(len(rows))]

@@ -6,15 +6,18 @@ a hash is the nearest vertex of the cross-polytope: the largest component and it
 vertices in each rotation, the ``PROBES`` combinations that give up least are the class's
 buckets, so both sides of a pair probe.
 
-A bucket's smallest id is its hub. Members that reach the threshold with it
-are linked to it; only what the hub does not reach is compared with the whole bucket, in blocks.
+Buckets hold ids and sketches, the signs of ``SKETCH`` random projections, and no vectors. A member stays in a bucket if
+its sketch is close to another's there, so most vectors without near ones leave before any vector is moved.
+What stays is verified with the vectors. A bucket's smallest id is its hub, and each pair of a member and
+a hub is compared once, however many buckets it shares. Members that reach the threshold are linked to their hub;
+only what the hub does not reach is compared with the whole bucket, in blocks.
 That connects what all pairs of the bucket would. Within the components the numbers of
 links are exact: members so close to the component's root that they must reach the threshold with each other
 are counted, all others are compared with the whole component, in blocks.
 
 All cosines are taken in double precision from the components as given, and a link means
 ``cosine >= threshold``. Pairs that share no bucket are missed; at a cosine of 0.9 of 64 components that was under 1 in 1,000
-(measured).
+(measured). Sketches add a pair in ``1 / SKETCH_MISS`` at the threshold itself (their distance is binomial), fewer above it.
 
 Cases: null, empty, zero vectors and those with null or non-finite components link with nothing;
 so do vectors of different lengths with each other; repeated rows count as other vectors; a null id
@@ -24,7 +27,7 @@ links but never names a component; other columns are ignored; an empty table giv
 from __future__ import annotations
 
 from itertools import product
-from math import acos, cos
+from math import acos, comb, cos, pi
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,10 @@ from tickloom.sources.shared import written_once
 
 THRESHOLD = 0.9
 TABLES, FUNCTIONS, PROBES = 8, 2, 3
+#: Bits of a sketch, two 64-bit words, and the odds that the sketches of a pair at the threshold lie too far apart.
+SKETCH, SKETCH_MISS = 128, 1e-6
+#: Buckets of up to this size are compared by shifts of the whole batch.
+_SMALL = 48
 #: Rows of one side of a comparison in a task.
 BLOCK_ROWS = 1024
 _PART = 4096
@@ -87,18 +94,105 @@ def buckets(x: np.ndarray) -> np.ndarray:
     return np.concatenate(keys, 1)
 
 
+def sketches(x: np.ndarray) -> np.ndarray:
+    """Signs of random projections of each row, as two words."""
+    planes = np.random.default_rng(TABLES * FUNCTIONS).normal(size=(x.shape[1], SKETCH))
+    return np.packbits(x @ planes > 0, axis=1).view(np.int64)
+
+
+def sketch_limit(threshold: float) -> int:
+    """Most differing bits that count as near: a pair at the threshold exceeds it with odds under ``SKETCH_MISS``."""
+    p = acos(max(-1.0, min(threshold, 1.0))) / pi
+    left, bits = 1.0, -1
+    while left > SKETCH_MISS and bits < SKETCH:
+        bits += 1
+        left -= comb(SKETCH, bits) * p**bits * (1 - p) ** (SKETCH - bits)
+    return bits
+
+
 def _hashed(batches):
     for batch in batches:
         for start in range(0, batch.num_rows, _PART):
             part = batch.slice(start, _PART)
             for rows, found in matrices(part.column(1)):
                 found = found / np.abs(found).max(1, keepdims=True)
-                keys = buckets(found / np.linalg.norm(found, axis=1, keepdims=True))
+                found = found / np.linalg.norm(found, axis=1, keepdims=True)
+                keys, signs = buckets(found), sketches(found)
                 flat = pa.array(keys.ravel())
                 offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * keys.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows)), pa.ListArray.from_arrays(offsets, flat)],
-                    ["id", "buckets"])
+                    [part.column(0).take(pa.array(rows)), pa.array(signs[:, 0]), pa.array(signs[:, 1]),
+                     pa.ListArray.from_arrays(offsets, flat)],
+                    ["id", "s0", "s1", "buckets"])
+
+
+def _in_pairs_of_parts(members: DataFrame, block_rows: int) -> DataFrame:
+    """Members beside all others of their bucket: parts of about ``block_rows``, and each two parts (``lo``, ``hi``) meet once."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "bucket", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")
+    spread = members.join(sizes, "bucket").withColumn("part", part).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return spread.select(
+        "bucket", F.least("part", "_other").alias("lo"), F.greatest("part", "_other").alias("hi"), "part", "id", "s0", "s1")
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of sketches, whose two words are the last axis."""
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int16)
+
+
+def _near_rows(rows: pa.Table, limit: int) -> np.ndarray:
+    """Which rows have a near sketch in their group; groups are runs of equal (bucket, lo, hi)."""
+    bucket, lo, hi, part, _, s0, s1 = (c.to_numpy() for c in rows.columns)
+    sketch = np.stack([s0, s1], 1).view(np.uint64)
+    near = np.zeros(len(bucket), bool)
+    first = np.flatnonzero(_starts(bucket, lo, hi))
+    size = np.diff(np.append(first, len(bucket)))
+    small = np.repeat(size <= _SMALL, size)
+    group = np.repeat(np.arange(len(first)), size)
+    for shift in range(1, int(size[size <= _SMALL].max(initial=1))):
+        at = np.flatnonzero(small[shift:] & (group[shift:] == group[:-shift]))
+        met = at[_differing(sketch[at], sketch[at + shift]) <= limit]
+        near[met] = near[met + shift] = True
+    for start, n in zip(first[size > _SMALL], size[size > _SMALL]):
+        # Two parts meet each other; one part meets itself, where each row is near at least to itself.
+        own = slice(start, start + n)
+        left = start + np.flatnonzero(part[own] == lo[start])
+        right = start + np.flatnonzero(part[own] == hi[start])
+        met = _differing(sketch[left][:, None], sketch[right]) <= limit
+        least = 2 if lo[start] == hi[start] else 1
+        near[left] |= met.sum(1) >= least
+        near[right] |= met.sum(0) >= least
+    return near
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], 0)
+    return new
+
+
+def _near_members(limit: int):
+    def found(rows):
+        near = pa.array(_near_rows(rows, limit))
+        return rows.select(["bucket", "id"]).filter(near).combine_chunks().to_batches()
+
+    def members(batches):
+        """(bucket, id) of near members. Rows come in order of their group; the last group waits for its end."""
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            start = np.flatnonzero(_starts(*(rows.column(n).to_numpy() for n in ("bucket", "lo", "hi"))))
+            cut = int(start[-1]) if len(start) else 0
+            yield from found(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None:
+            yield from found(held)
+
+    return members
 
 
 def _cosines(batches):
@@ -121,13 +215,6 @@ def _with_cosine(rows: DataFrame, vector: str) -> DataFrame:
     return kept.mapInArrow(_cosines, f"{schema}, cosine double")
 
 
-def _with_hub(members: DataFrame, group: str, classes: DataFrame) -> DataFrame:
-    """Members (group, id, vec) with their cosine to the group's smallest id; groups of one are left out."""
-    hubs = members.groupBy(group).agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    hubs = hubs.join(classes.select(F.col("id").alias("hub"), F.col("vec").alias("hub_vec")), "hub")
-    return _with_cosine(members.join(hubs, group), "hub_vec")
-
-
 def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows that ask, rows that answer, and both sides' unit vectors."""
     asks = table.column("_asks").to_numpy()
@@ -177,15 +264,24 @@ def near_vectors(
     # A class is named by a hash of its vector; its members share the vector itself.
     classes = good.groupBy("vec").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
     classes = written_once(classes.withColumn("id", F.xxhash64("vec")), "classes")
-    hashed = classes.select("id", "vec").mapInArrow(_hashed, "id bigint, buckets array<bigint>")
-    keys = written_once(hashed.select("id", F.explode("buckets").alias("bucket")), "buckets")
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = keys.join(shared, "bucket").join(classes.select("id", "vec"), "id").select("bucket", "id", "vec")
-    starred = written_once(_with_hub(members, "bucket", classes), "starred")
-    reached = F.col("cosine") >= threshold
-    star = starred.filter(reached & (F.col("id") != F.col("hub"))).select(
-        F.col("id").alias("u"), F.col("hub").alias("v"))
-    asked = in_blocks(starred.withColumn("_rest", ~reached), "bucket", "_rest", BLOCK_ROWS)
+    hashed = written_once(classes.select("id", "vec").mapInArrow(
+        _hashed, "id bigint, s0 bigint, s1 bigint, buckets array<bigint>"), "hashed")
+    members = hashed.select("id", "s0", "s1", F.explode("buckets").alias("bucket"))
+    met = _in_pairs_of_parts(members, BLOCK_ROWS)
+    met = met.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    near = met.mapInArrow(_near_members(sketch_limit(threshold)), "bucket bigint, id bigint")
+    near = written_once(near.distinct(), "near")
+    hubs = near.groupBy("bucket").agg(F.min("id").alias("hub"))
+    pairs = written_once(near.join(hubs, "bucket").filter("id <> hub"), "pairs")
+    vectors_of = classes.select("id", "vec")
+    compared = pairs.select("id", "hub").distinct().join(vectors_of, "id").join(
+        vectors_of.select(F.col("id").alias("hub"), F.col("vec").alias("hub_vec")), "hub")
+    reached = _with_cosine(compared, "hub_vec").filter(F.col("cosine") >= threshold).select("id", "hub")
+    reached = written_once(reached, "reached")
+    star = reached.select(F.col("id").alias("u"), F.col("hub").alias("v"))
+    asking = pairs.join(reached, ["id", "hub"], "left_anti").select("bucket", "id", F.lit(True).alias("_rest"))
+    asked = near.join(asking, ["bucket", "id"], "left").withColumn("_rest", F.coalesce("_rest", F.lit(False)))
+    asked = in_blocks(written_once(asked, "asked"), "bucket", "_rest", BLOCK_ROWS).join(vectors_of, "id")
     rest = asked.select("bucket", "_block", "_slice", "_asks", "id", "vec").groupBy(
         "bucket", "_block", "_slice").applyInArrow(
         _block_links(threshold), "u bigint, v bigint")
