@@ -76,6 +76,21 @@ def epoch_millis(text: Column, *, intraday: bool, zone: str) -> Column:
     return F.when(text.rlike(pattern), millis)
 
 
+# By how many minutes clocks go back.
+_BACK = (30, 60, 120)
+
+
+def second_millis(millis: Column, zone: str) -> Column:
+    """The later instant with the same local time in ``zone``; NULL unless a clock change repeats it after ``millis``."""
+    check_zone(zone)
+
+    def local(at):
+        return F.from_utc_timestamp(F.timestamp_millis(at), zone)
+
+    return F.coalesce(*(
+        F.when(local(millis + minutes * 60_000) == local(millis), millis + minutes * 60_000) for minutes in _BACK))
+
+
 def number(text: Column) -> Column:
     """The token as a double; the cast ignores blanks around it."""
     value = text.try_cast("double")

@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import parse
+from tickloom.operators.clock import with_second_hours
 from tickloom.plans.methods import method_of
 from tickloom.sources.shared import discard, new_path
 
@@ -32,7 +33,7 @@ class Parsed(NamedTuple):
             discard(self.bars.sparkSession, path)
 
 
-def _check_policy(policy: str) -> None:
+def check_policy(policy: str) -> None:
     if policy not in POLICIES:
         raise ValueError(f"bad-line policy {policy!r} is not supported")
 
@@ -56,7 +57,7 @@ def _typed(lines: DataFrame, passed: tuple[str, ...], method: str, zone: str) ->
     )
 
 
-def _stop_on(problem: Column, response_id: Column, line: Column) -> Column:
+def stop_on(problem: Column, response_id: Column, line: Column) -> Column:
     message = F.concat_ws(": ", response_id, problem, line)
     return F.when(problem.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
 
@@ -86,6 +87,7 @@ def parse_lines(
     on_bad_line: str = "quarantine",
     check_header: bool = True,
     position: str | None = None,
+    newest_first: bool | None = None,
 ) -> Parsed:
     """Parse a frame of (keys, response_id, line[, position]), one row per line in any order.
 
@@ -97,12 +99,17 @@ def parse_lines(
     called**. For headers alone it looks at the lines' starts and writes a row only for each response that has something wrong.
     Voiding parses every line once into a written table that the verdict, bars and errors read.
     ``Parsed.discard`` deletes what was written. Lines are never shuffled while the verdicts are small;
-    a large table falls back to a shuffled anti join that adaptive execution splits on hot responses. With
+    a large table falls back to a shuffled anti join that adaptive execution splits on hot responses.
+    ``newest_first`` says which way the times of a response run along ``position``; given, intraday times that a clock change
+    repeats are told apart (``with_second_hours``), else they are their first occurrence. With
     ``check_header=False`` and no voiding the parse is a single pass, and all header lines are dropped.
     """
-    _check_policy(on_bad_line)
+    check_policy(on_bad_line)
     names = method_of(method).schema.names
     identity = [*keys, "response_id"]
+    if newest_first is not None and position is None:
+        raise ValueError("newest_first needs a position")
+    told_apart = newest_first is not None and method_of(method).intraday
     spark = lines.sparkSession
     voiding = on_bad_line == "void_response"
     checked = check_header or voiding
@@ -120,7 +127,8 @@ def parse_lines(
         data = typed.filter(~parse.is_header(F.col("line")))
         source, bad_line = typed, ~parse.is_header(F.col("line")) & F.col("_bad").isNotNull()
     else:
-        data = _typed(lines.filter(parse.is_data(F.col("line"))), tuple(identity), method, zone)
+        kept = passed if told_apart else tuple(identity)
+        data = _typed(lines.filter(parse.is_data(F.col("line"))), kept, method, zone)
         source, bad_line = filled, F.lit(False)
     good, bad = data.filter(F.col("_bad").isNull()), data.filter(F.col("_bad").isNotNull())
     errors = bad.select(*identity, "line", F.col("_bad").alias("reason"))
@@ -153,7 +161,10 @@ def parse_lines(
         heads = heads.withColumn("_number", F.row_number().over(order)).filter("_number > 1")
         errors = errors.unionByName(heads.select(*identity, "line", F.lit("bad timestamp").alias("reason")))
     if on_bad_line == "fail":
-        good = data.filter(_stop_on(F.col("_bad"), F.col("response_id"), F.col("line")))
+        good = data.filter(stop_on(F.col("_bad"), F.col("response_id"), F.col("line")))
+    if told_apart:
+        good = with_second_hours(
+            good.select(*passed, *names), zone, response=identity, position=position, newest_first=newest_first)
     return Parsed(good.select(*keys, *names), errors, tuple(written))
 
 
@@ -188,32 +199,41 @@ def parse_responses(
     zone: str,
     keys: tuple[str, ...] = (),
     on_bad_line: str = "quarantine",
+    newest_first: bool | None = None,
 ) -> Parsed:
     """Parse whole responses (keys, response_id, status, reason, body).
 
-    Every verdict is local to a row, so nothing is shuffled under any policy.
+    Every verdict is local to a row, so nothing is shuffled under any policy. ``newest_first`` as in ``parse_lines``; given,
+    intraday bars in an hour that a clock change repeats are shuffled, and a response's id names it.
     """
-    _check_policy(on_bad_line)
+    check_policy(on_bad_line)
     names = method_of(method).schema.names
     split = response_lines(responses, keys=keys)
-    exploded = split.select(*keys, "response_id", "problem", F.explode_outer("data").alias("line"))
+    told_apart = newest_first is not None and method_of(method).intraday
+    at = ("_at",) if told_apart else ()
+    each, each_outer = (F.posexplode, F.posexplode_outer) if told_apart else (F.explode, F.explode_outer)
+    exploded = split.select(*keys, "response_id", "problem", each_outer("data").alias(*at, "line"))
     exploded = exploded.filter(parse.is_filled(F.col("line")) | F.col("problem").isNotNull())
-    read = _typed(exploded, (*keys, "response_id", "problem"), method, zone)
+    read = _typed(exploded, (*keys, "response_id", "problem", *at), method, zone)
     reason = F.coalesce("problem", "_bad")
     errors = read.filter(reason.isNotNull()).select(
         *keys, "response_id", "line", reason.alias("reason")
     )
     if on_bad_line == "fail":
-        bars = read.filter(_stop_on(reason, F.col("response_id"), F.col("line")))
+        bars = read.filter(stop_on(reason, F.col("response_id"), F.col("line")))
     elif on_bad_line == "void_response":
         clean = ~F.exists(
             "data", lambda line: parse.is_filled(line) & parse.is_bad_line(line, method, zone)
         )
         kept = split.filter(F.col("problem").isNull()).filter(clean)
-        whole = kept.select(*keys, "response_id", F.explode("data").alias("line"))
+        whole = kept.select(*keys, "response_id", each("data").alias(*at, "line"))
         bars = _typed(
-            whole.filter(parse.is_filled(F.col("line"))), (*keys, "response_id"), method, zone
+            whole.filter(parse.is_filled(F.col("line"))), (*keys, "response_id", *at), method, zone
         )
     else:
         bars = read.filter(reason.isNull())
+    if told_apart:
+        identity = (*keys, "response_id")
+        bars = with_second_hours(
+            bars.select(*identity, "_at", *names), zone, response=identity, position="_at", newest_first=newest_first)
     return Parsed(bars.select(*keys, *names), errors)

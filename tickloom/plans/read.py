@@ -135,9 +135,10 @@ def read_landing(
     zone: str,
     on_bad_line: str = "quarantine",
     check_header: bool = True,
+    newest_first: bool | None = None,
 ) -> Parsed:
     """Landed response files of one method; see ``tickloom.sources.landing`` for the layout."""
     return parse_lines(
         landed_lines(spark, root, method), method, zone=zone, keys=partition_names(method),
-        on_bad_line=on_bad_line, check_header=check_header, position="position",
+        on_bad_line=on_bad_line, check_header=check_header, position="position", newest_first=newest_first,
     )

@@ -12,9 +12,11 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tickloom.functions.calendar import millis_to_local
 from tickloom.operators.adjust import adjust_intraday, daily_with_events, with_adj_close
 from tickloom.operators.bad_lines import Parsed, parse_lines, parse_responses
 from tickloom.operators.bodies import Bodies, json_bodies, text_bodies
+from tickloom.operators.json_series import parse_json_series
 from tickloom.operators.resample import bars_from_bars, bars_from_ticks, with_partial_flag
 from tickloom.operators.select import in_slice, latest_points, with_slice
 from tickloom.plans.local import series_from_ticks
@@ -333,6 +335,36 @@ def parsed_responses(spark, sf_dir, policy: str) -> Parsed:
     )
 
 
+def json_responses(spark, sf_dir, broken: bool = False) -> DataFrame:
+    """A JSON response for each symbol and month, entries keyed by day; prices as strings, the rest as numbers.
+
+    Broken ones have an unreadable high on the 31st and no low on the 29th of February, and November answers 500.
+    """
+    daily = lineitem_bars(spark, sf_dir, "day")
+    high, low = F.col("high").cast("string"), F.col("low").cast("string")
+    if broken:
+        high = F.when(F.dayofmonth("ts") == 31, "x").otherwise(high)
+        low = F.when(~((F.month("ts") == 2) & (F.dayofmonth("ts") == 29)), low)
+    entry = F.struct(
+        F.col("open").cast("string").alias("1. open"), high.alias("2. high"), low.alias("3. low"),
+        F.col("close").alias("4. close"), F.col("volume").alias("5. volume"))
+    month = F.date_format("ts", "yyyy-MM")
+    day = F.struct(F.col("ts").cast("date").cast("string").alias("key"), entry.alias("value"))
+    grouped = daily.groupBy("symbol", month.alias("month")).agg(F.collect_list(day).alias("days"))
+    refused = F.lit(broken) & F.col("month").endswith("-11")
+    return grouped.select(
+        "symbol", F.concat_ws("-", "symbol", "month").alias("response_id"),
+        F.when(refused, 500).otherwise(200).alias("status"), F.when(refused, "Server Error").otherwise("OK").alias("reason"),
+        F.concat(F.lit('{"Meta Data": {"2. Symbol": "x"}, "Series": '), F.to_json(F.map_from_entries("days")), F.lit("}")).alias("body"))
+
+
+def parsed_json(spark, sf_dir, policy: str = "quarantine", broken: bool = True) -> Parsed:
+    names = [n for n in method_of("TIME_SERIES_DAILY").schema.names if n != "timestamp"]
+    return parse_json_series(
+        json_responses(spark, sf_dir, broken), "TIME_SERIES_DAILY", zone=ZONE, series="Series", keys=SYMBOL,
+        fields={name: f"{i}. {name}" for i, name in enumerate(names, 1)}, on_bad_line=policy)
+
+
 def error_counts(errors: DataFrame) -> DataFrame:
     return errors.groupBy("symbol", "response_id", "reason").agg(F.count("*").alias("lines"))
 
@@ -509,6 +541,23 @@ def parsed_new_york_dst(spark, sf_dir) -> DataFrame:
         zone=NEW_YORK, keys=SYMBOL).bars
 
 
+def parsed_repeated_hours(spark, sf_dir) -> DataFrame:
+    """Hourly bars of five days around a clock change, as New York lines from new to old, parsed back to their instants."""
+    moved = F.expr("ts + make_dt_interval(305 - day(ts) + day(ts) % 5)")
+    ticks = event_ticks(spark, sf_dir).withColumn("ts", moved)
+    bars = bars_from_ticks(ticks, "60min", tie_break=("event_id",), volume="volume")
+    instant = F.timestamp_millis(F.unix_millis(F.to_timestamp_ltz(F.concat(F.col("ts").cast("string"), F.lit("+00:00")))))
+    local = F.timestamp_millis(F.unix_millis(F.from_utc_timestamp(instant, NEW_YORK)))
+    bars = bars.withColumn("position", -F.unix_millis(instant)).withColumn("ts", millis_to_local(F.unix_millis(local), "UTC"))
+    lines = bars.select(
+        "symbol", F.col("symbol").alias("response_id"), csv_line("TIME_SERIES_INTRADAY").alias("line"), "position")
+    heads = lines.select("symbol", "response_id").distinct().select(
+        "*", F.lit(csv_header("TIME_SERIES_INTRADAY")).alias("line"), F.lit(-(2**62)).alias("position"))
+    return parse_lines(
+        lines.unionByName(heads), "TIME_SERIES_INTRADAY", zone=NEW_YORK, keys=SYMBOL, position="position",
+        newest_first=True).bars
+
+
 def zone_round_trip(spark, sf_dir) -> DataFrame:
     """A New York series turned back into exchange-local bars."""
     bars = event_bars(spark, sf_dir, "30min", volume="volume")
@@ -605,6 +654,11 @@ def build_queries() -> dict[str, Query]:
         "response_id", F.col("json.k").alias("k")
     )
     found["json_body_errors"] = lambda s, d: event_json(s, d).errors
+    found["json_bars"] = lambda s, d: parsed_json(s, d, broken=False).bars
+    found["json_bars_quarantine"] = lambda s, d: parsed_json(s, d).bars
+    found["json_bars_void"] = lambda s, d: parsed_json(s, d, "void_response").bars
+    found["json_bars_errors"] = lambda s, d: error_counts(parsed_json(s, d).errors)
+    found["parse_repeated_hours"] = parsed_repeated_hours
     found["landing_files"] = landing_files
     found["source_file"] = source_file
     found["source_file_fx"] = source_file_fx

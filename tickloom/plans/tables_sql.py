@@ -198,6 +198,21 @@ NEW_YORK_DST = """
   SELECT symbol, epoch_ms(timezone('America/New_York', local)) AS "timestamp", open, high, low, close, volume
   FROM b WHERE NOT (hour(local) IN (1, 2) AND month(local) IN (3, 11))"""
 
+# The second pass of a repeated hour is known by the first, where a symbol has both.
+REPEATED_HOURS = """
+  WITH spread AS (SELECT *, ts + to_days(CAST(305 - day(ts) + day(ts) % 5 AS INTEGER)) AS moment FROM events),
+  b AS (
+    SELECT event_type AS symbol, time_bucket(INTERVAL '60 minutes', moment) AS utc, first(value ORDER BY moment, event_id) AS open,
+      max(value) AS high, min(value) AS low, last(value ORDER BY moment, event_id) AS close,
+      CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS volume
+    FROM spread GROUP BY event_type, time_bucket(INTERVAL '60 minutes', moment)),
+  l AS (
+    SELECT *, timezone('America/New_York', timezone('UTC', utc))
+        = timezone('America/New_York', timezone('UTC', utc - INTERVAL 1 HOUR)) AS second,
+      lag(utc) OVER (PARTITION BY symbol ORDER BY utc) = utc - INTERVAL 1 HOUR AS both_passes FROM b)
+  SELECT symbol, epoch_ms(CASE WHEN second AND NOT coalesce(both_passes, FALSE) THEN utc - INTERVAL 1 HOUR ELSE utc END)
+    AS "timestamp", open, high, low, close, volume FROM l"""
+
 DAY = 'make_timestamp_ms("timestamp")'
 RESPONSE = f"symbol || '-' || strftime({DAY}, '%Y-%m')"
 IS_31 = f"day({DAY}) = 31"
@@ -335,6 +350,13 @@ def build_sql() -> dict[str, str]:
     sql["void_shared_ids"] = (
         f"{clean} SELECT {KEPT} FROM daily WHERE symbol <> 'R' OR strftime({DAY}, '%Y-%m') NOT IN "
         f"(SELECT strftime({DAY}, '%Y-%m') FROM daily WHERE symbol = 'R' AND day({DAY}) = 31)")
+    sql["json_bars"] = line_bars("day")
+    sql["json_bars_quarantine"] = f"{MARKED} SELECT {KEPT} FROM marked WHERE problem IS NULL AND mon <> 11"
+    sql["json_bars_void"] = sql["bad_lines_void"] + " AND mon <> 11"
+    sql["json_bars_errors"] = (
+        f"{MARKED} SELECT {LINE_ERRORS} FROM marked WHERE problem IS NOT NULL AND mon <> 11 GROUP BY ALL "
+        "UNION ALL SELECT DISTINCT symbol, response_id, 'status 500 Server Error', 1 FROM marked WHERE mon = 11")
+    sql["parse_repeated_hours"] = REPEATED_HOURS
     sql["header_first_line"] = f"{clean} SELECT {KEPT} FROM daily WHERE month({DAY}) <> 2"
     sql["header_repeated"] = line_bars("day")
     sql["header_repeated_errors"] = (

@@ -50,6 +50,22 @@ def landed_lines(spark: SparkSession, root: str, method: str) -> DataFrame:
     return lines_from(spark.read, root, method, position.alias("position"))
 
 
+def bodies_from(reader: DataFrameReader | DataStreamReader, root: str, method: str) -> DataFrame:
+    """One row per landed response with its whole body, in the form ``parse_responses`` takes; any line end becomes ``\\n``."""
+    names = partition_names(method)
+    return (
+        reader.schema(_text_schema(names))
+        .text(f"{root}/{method}", wholetext=True)
+        .select(
+            *names,
+            F.col("_metadata.file_path").alias("response_id"),
+            F.lit(200).alias("status"),
+            F.lit("OK").alias("reason"),
+            F.regexp_replace("value", "\r\n?", "\n").alias("body"),
+        )
+    )
+
+
 def landed_bodies(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its whole text, for bodies that are not CSV."""
     return spark.read.text(path, wholetext=True).select(

@@ -14,21 +14,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions.calendar import (
     check_period, local_micros, millis_to_local, minutes_of,
 )
-from tickloom.operators.bad_lines import Parsed, parse_lines
+from tickloom.operators.bad_lines import Parsed, parse_lines, parse_responses
 from tickloom.operators.resample import bar_aggregates, trades_of
 from tickloom.plans.methods import INTERVALS
-from tickloom.sources.landing import lines_from, partition_names
+from tickloom.sources.landing import bodies_from, lines_from, partition_names
 
 
-def landing_stream(spark: SparkSession, root: str, method: str, *, zone: str) -> Parsed:
-    """Bars and bad lines of response files as they land.
+def landing_stream(
+    spark: SparkSession, root: str, method: str, *, zone: str, on_bad_line: str = "quarantine", check_header: bool = True
+) -> Parsed:
+    """Bars and error rows of response files as they land, as the batch read of the same files gives them.
 
-    Files are parsed line by line; the header check and voiding need a whole
-    response and belong to the batch read.
+    A file is one row, so header check and voiding are verdicts on a row: no state, no shuffle, nothing to wait for. One file
+    has to fit in a task. ``check_header=False`` parses line by line in place of that, so that big files are split; it
+    cannot void responses. Blanks at a file's end are no part of its last line.
     """
+    if check_header:
+        return parse_responses(
+            bodies_from(spark.readStream, root, method), method, zone=zone, keys=partition_names(method),
+            on_bad_line=on_bad_line)
+    if on_bad_line == "void_response":
+        raise ValueError("voiding a response needs check_header")
     return parse_lines(
         lines_from(spark.readStream, root, method), method, zone=zone,
-        keys=partition_names(method), check_header=False,
+        keys=partition_names(method), on_bad_line=on_bad_line, check_header=False,
     )
 
 
