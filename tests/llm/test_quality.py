@@ -1,10 +1,12 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from llm_fixtures import documents  # noqa: F401
-from tickloom.llm import quality
+from tickloom.llm import quality, shingles
 from tickloom.llm.queries import build_queries
 
 SF = "/root/testdata/sf0.01"
@@ -49,3 +51,45 @@ def test_odd_rows(spark, documents):
     assert quality.classify(documents(), labels).count() == 0
     unlabelled = quality.classify(documents(*rows), labels.limit(0)).collect()
     assert {r.score for r in unlabelled} == {1.0}
+
+
+def counted(text):
+    """Term counts of one text, character by character and word by word."""
+    found = Counter()
+    kinds = [quality._CLASS[ord(c)] if ord(c) < len(quality._CLASS) else 4 for c in text]
+    for a, b, c in zip(kinds, kinds[1:], kinds[2:]):
+        found[(int(a) * quality._CLASSES + int(b)) * quality._CLASSES + int(c)] += 1
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    shingles = [tuple(words[i:i + 5]) for i in range(len(words) - 4)] or ([tuple(words)] if words else [])
+    found[quality.TERMS - 2] = sum(a == b for a, b in zip(words, words[1:]))
+    found[quality.TERMS - 1] = len(shingles) - len(set(shingles))
+    return {k: v for k, v in found.items() if v}
+
+
+def chunk_counts(texts):
+    data = [t.encode() for t in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    made = quality._chunk_counts(np.frombuffer(b"".join(data), np.uint8), bounds)
+    found = [{} for _ in texts]
+    for doc, term, count in zip(*made):
+        found[doc][int(term)] = int(count)
+    return found
+
+
+TEXTS = ["Plain words, twice twice! 12.5 | é😀 ñ " * 7 + "end", "a", "ab", "one", "x y z w v " * 9, "  \n\t ", "ß" * 300,
+         "w" * 200 + " " + "W" * 200 + " tail", "\N{OGHAM SPACE MARK}…—'" * 20]
+
+
+def test_counts_equal_a_loop_over_characters():
+    assert chunk_counts(TEXTS) == [counted(t) for t in TEXTS]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_long_texts_are_counted_in_pieces(monkeypatch, size):
+    data = [np.frombuffer(t.encode(), np.uint8) for t in TEXTS]
+    tokens = [shingles.tokens(d, np.array([0, len(d)])) for d in data]
+    monkeypatch.setattr(shingles, "CHUNK_BYTES", size)
+    for text, d, (doc, token) in zip(TEXTS, data, tokens):
+        assert chunk_counts([text]) == [counted(text)]
+        again = shingles.tokens(d, np.array([0, len(d)]))
+        assert again[1].tolist() == token.tolist() and again[0].tolist() == doc.tolist()

@@ -1,8 +1,10 @@
 from collections import Counter
+from hashlib import md5
 
 import pytest
 
-from tickloom.llm import sharding
+from conftest import SMALL
+from tickloom.llm import queries, sharding
 
 SHARDS = [f"s{i}" for i in range(7)]
 
@@ -47,3 +49,30 @@ def test_rows_keep_columns_and_equal_keys_meet(spark):
 def test_null_and_the_text_null_differ(spark):
     rows = spark.createDataFrame([("",), (None,), ("-",)], "k string")
     assert len({r.slot for r in sharding.place(rows, ["k"], SHARDS).collect()}) == 3
+
+
+def test_whole_query_against_plain_python(spark):
+    """Slots from the digest's definition, and a table filled by whole lists of preferences."""
+    shards = dict.fromkeys(queries.SHARDS, 1) if not isinstance(queries.SHARDS, dict) else queries.SHARDS
+    slots = sharding.SLOTS
+
+    def number(text):
+        return int(md5(text.encode()).hexdigest()[:15], 16)
+
+    prefers = {}
+    for name in sorted(shards):
+        start, step = number(f"{name}/start") % slots, number(f"{name}/step") % (slots - 1) + 1
+        prefers[name] = iter([(start + i * step) % slots for i in range(slots)])
+    owner = {}
+    while len(owner) < slots:
+        for name in sorted(shards):
+            for _ in range(shards[name]):
+                claimed = next((s for s in prefers[name] if s not in owner), None)
+                if claimed is not None:
+                    owner[claimed] = name
+
+    rows = queries.build_queries()["op1_sharding"](spark, SMALL).collect()
+    assert len(rows) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    for r in rows:
+        key = "-" if r.doc_id is None else f"={r.doc_id}"
+        assert r.slot == number(f"{len(key)}{key}") % slots and r.shard == owner[r.slot]

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickloom.llm import shingles
 from tickloom.llm.shingles import WIDTH, _words, chunks, release, text_buffers, tokens
 
 SAMPLE = 4096
@@ -80,22 +81,42 @@ class Counts(NamedTuple):
     count: np.ndarray
 
 
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Class of each character of whole UTF-8 sequences."""
+    code = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    return np.where(code < len(_CLASS), _CLASS[np.minimum(code, len(_CLASS) - 1)], 4).astype(np.int64)
+
+
+def _trigrams(kind: np.ndarray) -> np.ndarray:
+    return (kind[:-2] * _CLASSES + kind[1:-1]) * _CLASSES + kind[2:]
+
+
+def _long_table(data: np.ndarray) -> np.ndarray:
+    """Trigram counts of one text, made of pieces that overlap by two characters."""
+    table, low, left = np.zeros(TERMS, np.int64), 0, np.zeros(0, np.int64)
+    while low < len(data):
+        high = low + shingles.CHUNK_BYTES
+        while high < len(data) and data[high] & 0xC0 == 0x80:
+            high += 1
+        kind = np.concatenate([left, _kinds(data[low:high])])
+        table += np.bincount(_trigrams(kind), minlength=TERMS)
+        low, left = high, kind[-2:]
+    return table
+
+
 def _chunk_counts(data: np.ndarray, bounds: np.ndarray) -> Counts:
     """Term counts of a chunk, sorted by document."""
     n = len(bounds) - 1
-    code = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    at = heads[bounds]
-    kind = np.where(code < len(_CLASS), _CLASS[np.minimum(code, len(_CLASS) - 1)], 4).astype(np.int64)
-    doc = np.repeat(np.arange(n), np.diff(at))
-    if len(kind) >= 3:
-        tri = (kind[:-2] * _CLASSES + kind[1:-1]) * _CLASSES + kind[2:]
-        inside = doc[:-2] == doc[2:]
-        table = np.bincount(doc[:-2][inside] * TERMS + tri[inside], minlength=n * TERMS)
-        key = np.flatnonzero(table)
-        count = table[key]
+    if n == 1 and len(data) > shingles.CHUNK_BYTES:
+        table = _long_table(data)
     else:
-        key, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        kind = _kinds(data)
+        doc = np.repeat(np.arange(n), np.diff(heads[bounds]))
+        inside = doc[:-2] == doc[2:]
+        table = np.bincount(doc[:-2][inside] * TERMS + _trigrams(kind)[inside], minlength=n * TERMS)
+    key = np.flatnonzero(table)
+    count = table[key]
     if len(data):
         hashes, owner = _words(data, bounds)
         words = np.bincount(owner, minlength=n)

@@ -3,7 +3,8 @@
 A text is lower-cased in A-Z only and split at the six ASCII white-space bytes. Its
 tokens are its distinct ``WIDTH``-word shingles as hashes of ``TOKEN_BITS`` bits; a text of
 fewer words has one token, the whole sequence; a text without words has none. All
-work is array arithmetic over the bytes of a bounded chunk of documents.
+work is array arithmetic over the bytes of a bounded chunk of documents; of a longer text, over pieces cut
+at white space, and a word longer than a piece is summed up in parts.
 """
 
 from __future__ import annotations
@@ -68,8 +69,36 @@ def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def _long_words(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the words of one text, a piece of about ``CHUNK_BYTES`` at a time."""
+    low, n = 0, len(data)
+    while low < n:
+        high = min(low + CHUNK_BYTES, n)
+        spaces = np.flatnonzero(_SPACE[data[low:high]])
+        if high == n or len(spaces):
+            high = n if high == n else low + int(spaces[-1]) + 1
+            yield _words(data[low:high], np.array([0, high - low]))[0]
+        else:
+            whole, offset = 0, 0
+            while low < n and not _SPACE[data[low]]:
+                part = data[low:low + CHUNK_BYTES]
+                spaces = np.flatnonzero(_SPACE[part])
+                part = part[:spaces[0]] if len(spaces) else part
+                with np.errstate(over="ignore"):
+                    value = int((_OF_BYTE[_LOWER[part]] * _power(_BASE, len(part))).sum())
+                whole = (whole + value * pow(_BASE, offset, 1 << 64)) % (1 << 64)
+                low, offset = low + len(part), offset + len(part)
+            with np.errstate(over="ignore"):
+                yield mix(np.array([whole], _U))
+            continue
+        low = high
+
+
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document number of each word; ``bounds`` are the documents' byte offsets."""
+    if len(bounds) == 2 and len(data) > CHUNK_BYTES:
+        hashes = np.concatenate(list(_long_words(data)))
+        return hashes, np.zeros(len(hashes), np.int64)
     word = ~_SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
