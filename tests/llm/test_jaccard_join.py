@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,77 @@ def test_rows_without_ids_make_no_pairs(spark, documents):
     assert joined.links.count() >= 61
     docs = documents(*rows).selectExpr("doc_id", "text", "xxhash64(text) AS digest")
     assert docs.join(docs.selectExpr("doc_id AS d", "digest AS e"), F.expr("doc_id <=> d AND digest = e")).count() == len(rows)
+
+
+def listed(units, buckets, block_rows):
+    """Candidate pairs and list members that packing and meeting find, by a plain model of both shuffles."""
+    dealt = {}
+    for at in range(0, len(units), block_rows):
+        signature, set_id = (np.array(x) for x in zip(*units[at:at + block_rows]))
+        for batch in jaccard_join._pack(signature.astype(np.uint64), set_id.astype(np.int64), buckets):
+            dealt.setdefault(batch.column(0)[0].as_py(), []).append(batch)
+    pairs, lists, hot = set(), {}, {}
+    for bucket, batches in dealt.items():
+        for row in jaccard_join._meet(pa.Table.from_batches(batches), buckets).to_pylist():
+            if row["kind"] == 0:
+                pairs.add((row["a"], row["b"]))
+            elif row["kind"] == 1:
+                lists.setdefault(row["a"], set()).add(row["b"])
+            else:
+                members = hot.setdefault(row["a"], {})
+                members[row["b"]] = members.get(row["b"], 0) | row["role"]
+    return dealt, pairs, lists, hot
+
+
+def test_hot_signatures_leave_their_bucket(spark):
+    """Signatures of some, hundreds and thousands of sets in blocks of many sizes: the same groups as without blocks."""
+    rng = np.random.default_rng(4)
+    probe, index = jaccard_join.PROBE, jaccard_join.INDEXED
+    keys = rng.choice(1 << 58, 40, replace=False).astype(np.uint64) << np.uint64(jaccard_join.ROLE_BITS)
+    units, groups, roles = [], {}, {}
+    for n, key in enumerate(keys.tolist()):
+        for member in rng.choice(1 << 40, int(rng.choice([2, 3, 9, 70, 200, 3000])), replace=False).tolist():
+            role = index if n % 4 == 3 else index | probe
+            groups.setdefault(key, set()).add(member)
+            roles[key] = roles.get(key, 0) | role
+            units += [(key | role, member)] * int(rng.integers(1, 3))
+    order = rng.permutation(len(units))
+    units = [units[i] for i in order]
+    useful = {k: v for k, v in groups.items() if roles[k] & probe}
+    dealt, pairs, lists, hot = listed(units, 8, 4000)
+    assert hot and max(dealt) >= 8
+    assert {k % (1 << 64) for k in hot} >= {k for k, v in groups.items() if len(v) == 3000}
+    for key, members in groups.items():
+        signed = int(np.uint64(key).view(np.int64))
+        if signed in hot:
+            assert set(hot[signed]) == members
+            assert bool(np.bitwise_or.reduce(list(hot[signed].values())) & probe) == (key in useful)
+        elif key in useful and len(members) > jaccard_join.SMALL:
+            assert members in lists.values()
+        elif key in useful:
+            assert {(a, b) for a in members for b in members if a < b} <= pairs
+    rows = [(2, key, member, role) for key, members in hot.items() for member, role in members.items()]
+    met = spark.createDataFrame(rows, "kind tinyint, a bigint, b bigint, role tinyint")
+    found = jaccard_join._hot_lists(met.unionByName(met.withColumn("a", F.col("a") + 32))).collect()
+    kept = {}
+    for r in found:
+        kept.setdefault(r.list, set()).add(r.set_id)
+    assert sorted(map(sorted, kept.values())) == sorted(sorted(m) for k, m in hot.items() if k % (1 << 64) in useful)
+    # Far from its bucket: what reaches it of a hot signature are marks and the sets of blocks that hold few.
+    at_home = sum(len(b.column(2)[0].as_py()) // 8 for k, v in dealt.items() if k < 8 for b in v)
+    assert at_home < sum(len(m) for m in groups.values()) / 3
+
+
+def test_hot_group_of_different_near_copies(spark, documents):
+    """A third of the rows are different near copies that share a passage, in one large and many small partitions; some lack an id."""
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(90)]
+    rows = []
+    for i in range(330):
+        rows.append((None if i % 10 == 0 else i, " ".join(edited(rng, passage, rng.choice([1, 2, 4, 9])))))
+    rows += [(1000 + i, " ".join(passage[:40] + [f"u{rng.randrange(10**6)}" for _ in range(50)])) for i in range(170)]
+    rows += [(2000 + i, " ".join(f"x{rng.randrange(10**6)}" for _ in range(30))) for i in range(400)]
+    rng.shuffle(rows)
+    table = documents(*rows[:600]).coalesce(1).unionByName(documents(*rows[600:]).repartition(5))
+    result = jaccard_join.near_duplicates(table).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in result) == brute(rows)

@@ -19,6 +19,10 @@ a signature are candidates; a group of more than ``SMALL`` sets becomes a list,
 member of most lists. Verified pairs give components. Only lists whose sets are still in several
 components have their remaining pairs compared, in blocks of bounded size.
 
+A signature that ``HOT`` sets of one block share is not gathered in its bucket: those sets go to other buckets, dealt by
+block, and become rows of the signature's list there. A mark in its own bucket has the sets of other blocks added to
+that list, so the list is whole, and no task holds more than ``HOT`` sets a block of one signature.
+
 Before sets are fetched, two cheap bounds drop pairs that cannot link: their sizes, and their parity
 bitmaps. A bitmap holds the parity of the number of tokens in each of ``CELLS`` cells, so two sets differ in at
 least as many tokens as their bitmaps in bits.
@@ -40,7 +44,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import components
 from tickloom.llm.shingles import mix, release, token_sets
-from tickloom.llm.vectors import in_blocks
+from tickloom.llm.vectors import dealt, parts
 from tickloom.sources.shared import written_once
 
 _U = np.uint64
@@ -55,6 +59,9 @@ BUCKET_ROWS = 1 << 20
 BLOCK_ROWS = 1 << 19
 #: Classes a task remembers as sent; beyond it starts anew and sends some twice.
 REMEMBERED = 1 << 18
+#: Sets of a block that share a signature before it is kept out of its bucket, and parts of its list in a join.
+HOT = 64
+PARTS = 64
 #: Frequent tokens: in at least so many different sets of a window of so many tokens; the most frequent guide the cost.
 FREQUENT_IN_WINDOW = 3
 WINDOW_TOKENS = 1 << 22
@@ -226,21 +233,38 @@ def _describe(batches):
         yield _often(held)
 
 
+def _packed(bucket: int, signature: np.ndarray, set_id: np.ndarray) -> pa.RecordBatch:
+    """One block: byte planes of the sorted signatures, and places in a list of ids."""
+    known, place = np.unique(set_id, return_inverse=True)
+    planes = np.ascontiguousarray(signature.view(np.uint8).reshape(-1, 8).T)
+    return pa.RecordBatch.from_arrays([
+        pa.array([bucket], pa.int32()), pa.array([planes.tobytes()], pa.binary()),
+        pa.array([known.tobytes()], pa.binary()),
+        pa.array([place.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary()),
+    ], ["bucket", "signatures", "ids", "places"])
+
+
 def _pack(signature: np.ndarray, set_id: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of one bucket each: byte planes of the sorted signatures, and places in a list of ids."""
+    """Blocks of one bucket each. Those of hot signatures have numbers from ``buckets`` on; a signature without a role marks them."""
+    order = np.lexsort((set_id, signature))
+    signature, set_id = signature[order], set_id[order]
+    group = signature >> _U(ROLE_BITS)
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    count = np.diff(np.concatenate([starts, [len(group)]]))
+    hot = np.repeat(count >= HOT, count)
+    if hot.any():
+        with np.errstate(over="ignore"):
+            dealt = mix(np.array([set_id.sum()]).view(_U))[0]
+        yield _packed(buckets + int(dealt % _U(buckets)), signature[hot], set_id[hot])
+        marks = starts[count >= HOT]
+        signature[marks] = group[marks] << _U(ROLE_BITS)
+        hot[marks] = False
+        signature, set_id = signature[~hot], set_id[~hot]
     key = ((signature >> _U(32)) * _U(buckets)) >> _U(32)
-    order = np.lexsort((signature, key))
-    signature, set_id, key = signature[order], set_id[order], key[order]
     cuts = np.searchsorted(key, np.arange(buckets + 1, dtype=_U))
     for bucket in np.flatnonzero(np.diff(cuts)):
         low, high = cuts[bucket], cuts[bucket + 1]
-        known, place = np.unique(set_id[low:high], return_inverse=True)
-        planes = np.ascontiguousarray(signature[low:high].view(np.uint8).reshape(-1, 8).T)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([bucket], pa.int32()), pa.array([planes.tobytes()], pa.binary()),
-            pa.array([known.tobytes()], pa.binary()),
-            pa.array([place.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary()),
-        ], ["bucket", "signatures", "ids", "places"])
+        yield _packed(bucket, signature[low:high], set_id[low:high])
 
 
 def _unpack(signatures: bytes, ids: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -272,15 +296,30 @@ def _sender(buckets: int, frequent: np.ndarray):
     return send
 
 
-_FOUND = ["kind", "a", "b"]
+_FOUND = ["kind", "a", "b", "role"]
+
+
+def _batch(kind: int, a: np.ndarray, b: np.ndarray, role: np.ndarray | None = None) -> pa.Table:
+    role = np.zeros(len(a), np.int8) if role is None else role.astype(np.int8)
+    return pa.table([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b), pa.array(role)], _FOUND)
+
+
+def _hot_members(key: np.ndarray, set_id: np.ndarray, role: np.ndarray) -> pa.Table:
+    return _batch(2, (key << _U(ROLE_BITS)).view(np.int64), set_id, role)
 
 
-def _batch(kind: int, a: np.ndarray, b: np.ndarray) -> pa.Table:
-    return pa.table([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b)], _FOUND)
+def _useful(roles):
+    """Whether sets with these roles together, of one signature, are candidates; for arrays and for columns."""
+    def has(role):
+        return (roles.bitwiseAND(role) if isinstance(roles, Column) else roles & role) > 0
 
+    return (has(INDEXED) & has(PROBE | PROBE_CUT)) | (has(INDEXED_CUT) & has(PROBE_TWO))
 
-def _meet(block: pa.Table) -> pa.Table:
-    """Candidate pairs (kind 0) of a bucket and the lists of its large groups (kind 1: list id, set id)."""
+
+def _meet(block: pa.Table, buckets: int) -> pa.Table:
+    """Candidate pairs (kind 0) of a bucket, the lists of its large groups (kind 1: list id, set id), members of hot
+    signatures (kind 2: list id, set id, role)."""
+    hot_block = block.column("bucket")[0].as_py() >= buckets
     columns = (block.column(n).to_pylist() for n in ("signatures", "ids", "places"))
     parts = [_unpack(*p) for p in zip(*columns)]
     signature, set_id = (np.concatenate(x) for x in zip(*parts))
@@ -297,15 +336,20 @@ def _meet(block: pa.Table) -> pa.Table:
     order = np.lexsort((set_id, key))
     key, set_id = key[order], set_id[order]
     role = (signature[order] & _U((1 << ROLE_BITS) - 1)).astype(np.int64)
+    marked = np.unique(key[role == 0])
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (set_id[1:] != set_id[:-1])])
     role = np.bitwise_or.reduceat(role, np.flatnonzero(new))
     key, set_id = key[new], set_id[new]
+    if hot_block:
+        return _hot_members(key, set_id, role)
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     roles = np.bitwise_or.reduceat(role, starts)
-    useful = ((roles & INDEXED > 0) & (roles & (PROBE | PROBE_CUT) > 0)) | (
-        (roles & INDEXED_CUT > 0) & (roles & PROBE_TWO > 0))
     size = np.diff(np.concatenate([starts, [len(key)]]))
     group = np.repeat(np.arange(len(starts)), size)
+    hot = np.isin(key[starts], marked)
+    added = hot[group] & (role > 0)
+    hot_members = _hot_members(key[added], set_id[added], role[added])
+    useful = _useful(roles) & ~hot
     kept = (useful & (size > 1))[group]
     group, set_id, role = group[kept], set_id[kept], role[kept]
     pairs = []
@@ -329,9 +373,17 @@ def _meet(block: pa.Table) -> pa.Table:
     return pa.concat_tables([
         _batch(0, a[new], b[new]),
         _batch(1, lists[group[chosen]].view(np.int64), set_id[chosen]),
+        hot_members,
     ])
 
 
+def _meeter(buckets: int):
+    def meet(block: pa.Table) -> pa.Table:
+        return _meet(block, buckets)
+
+    return meet
+
+
 def _sets(batches):
     for batch in batches:
         wanted = batch.column(0).to_numpy(zero_copy_only=False)
@@ -384,11 +436,31 @@ def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(size).filter(unlike * 9 <= F.col("na") + F.col("nb")).select("a", "b")
 
 
+def _beside(members: DataFrame, of_list: DataFrame) -> DataFrame:
+    """The row of ``of_list`` beside each of its list's members; a hot list meets it in parts."""
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("set_id"), F.lit(PARTS))).otherwise(0).cast("int")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = of_list.withColumn("_part", F.explode(every))
+    return members.withColumn("_part", part).join(copies, ["list", "hot", "_part"]).drop("_part")
+
+
+def _hot_lists(met: DataFrame) -> DataFrame:
+    """Lists of hot signatures that hold candidates; of lists with the same members, one."""
+    members = met.filter("kind = 2").groupBy(F.col("a").alias("list"), F.col("b").alias("set_id")).agg(
+        F.bit_or("role").alias("role"))
+    members = written_once(members.withColumn("hot", F.lit(True)), "hot")
+    contents = members.groupBy("list", "hot").agg(
+        F.bit_or("role").cast("int").alias("roles"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("set_id")).alias("one"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two"))
+    first = contents.filter(_useful(F.col("roles"))).groupBy("hot", "n", "one", "two").agg(F.min("list").alias("list"))
+    return _beside(members, first.select("list", "hot")).select("list", "set_id", "hot")
+
+
 def _star_pairs(lists: DataFrame) -> DataFrame:
     """Each list's members with its hub, the member of most lists."""
     central = lists.groupBy("set_id").agg(F.count("*").alias("lists"))
-    hubs = lists.join(central, "set_id").groupBy("list").agg(F.max(F.struct("lists", "set_id")).alias("hub"))
-    star = lists.join(hubs.select("list", F.col("hub.set_id").alias("hub")), "list").filter("set_id <> hub")
+    hubs = lists.join(central, "set_id").groupBy("list", "hot").agg(F.max(F.struct("lists", "set_id")).alias("hub"))
+    star = _beside(lists, hubs.select("list", "hot", F.col("hub.set_id").alias("hub"))).filter("set_id <> hub")
     return star.select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
 
 
@@ -413,14 +485,15 @@ def _cross(table: pa.Table) -> pa.Table:
 def _open_pairs(lists: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of a list whose members are in different components and may link."""
     placed = lists.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "list", "set_id", F.coalesce("root", "set_id").alias("root"))
+        "list", "hot", "set_id", F.coalesce("root", "set_id").alias("root"))
     # The component with most members of a list; only its pairs with the others are left, and those of the others.
-    shares = placed.groupBy("list", "root").agg(F.count("*").alias("n"))
-    leading = shares.groupBy("list").agg(
-        F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
-    placed = placed.join(leading.select("list", F.col("most.root").alias("leading")), "list")
+    shares = placed.groupBy("list", "hot", "root").agg(F.count("*").alias("n"))
+    leading = shares.groupBy("list", "hot").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n")).filter("n > most.n")
+    placed = _beside(placed, leading.select(
+        "list", "hot", F.col("most.root").alias("leading"),
+        parts(F.col("n") - F.col("most.n"), LIST_BLOCK).alias("_blocks"), parts(F.col("n"), LIST_BLOCK).alias("_slices")))
     placed = placed.join(classes.select("set_id", "size", "bits"), "set_id").withColumnRenamed("set_id", "id")
-    spread = in_blocks(placed, "list", "root <> leading", LIST_BLOCK)
+    spread = dealt(placed, "root <> leading")
     return spread.select("list", "_block", "_slice", "_asks", "id", "root", "size", "bits").groupBy(
         "list", "_block", "_slice").applyInArrow(_cross, "a bigint, b bigint").distinct()
 
@@ -456,9 +529,10 @@ def jaccard_links(documents: DataFrame) -> Joined:
     buckets = max(4 * at_least, n_tokens // 2 // BUCKET_ROWS + 1)
     packed = docs.select("text").mapInArrow(
         _sender(buckets, frequent), "bucket int, signatures binary, ids binary, places binary")
-    met = written_once(packed.groupBy("bucket").applyInArrow(_meet, "kind tinyint, a bigint, b bigint"), "met")
-    lists = written_once(
-        met.filter("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("set_id")).distinct(), "lists")
+    met = written_once(
+        packed.groupBy("bucket").applyInArrow(_meeter(buckets), "kind tinyint, a bigint, b bigint, role tinyint"), "met")
+    lists = met.filter("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("set_id"), F.lit(False).alias("hot"))
+    lists = written_once(lists.distinct().unionByName(_hot_lists(met)), "lists")
     pairs = met.filter("kind = 0").select("a", "b").unionByName(_star_pairs(lists)).distinct()
     pairs = written_once(_bounded(pairs, classes), "pairs")
     sets = _sets_of(docs, classes, pairs)

@@ -36,6 +36,11 @@ def unit_rows(column: pa.Array) -> np.ndarray:
     return found / np.linalg.norm(found, axis=1, keepdims=True)
 
 
+def parts(n: Column, block_rows: int) -> Column:
+    """How many blocks of about ``block_rows`` hold n rows."""
+    return F.ceil(n / F.lit(block_rows)).cast("int")
+
+
 def in_blocks(rows: DataFrame, group: str, chosen: str, block_rows: int) -> DataFrame:
     """Every chosen row of a group beside every row of the group, in blocks of bounded size.
 
@@ -43,13 +48,15 @@ def in_blocks(rows: DataFrame, group: str, chosen: str, block_rows: int) -> Data
     (``_block``, ``_slice``) of a group has one block's chosen rows, ``_asks`` true, and one slice's rows.
     Groups without chosen rows vanish.
     """
-    def parts(n):
-        return F.ceil(n / F.lit(block_rows)).cast("int")
+    counts = rows.groupBy(group).agg(
+        parts(F.count(F.when(F.expr(chosen), 1)), block_rows).alias("_blocks"),
+        parts(F.count("*"), block_rows).alias("_slices"))
+    return dealt(rows.join(counts.filter("_blocks > 0"), group), chosen)
 
+
+def dealt(spread: DataFrame, chosen: str) -> DataFrame:
+    """``in_blocks`` for rows that carry their group's numbers of blocks and slices."""
     wanted = F.expr(chosen)
-    counts = rows.groupBy(group).agg(
-        parts(F.count(F.when(wanted, 1))).alias("_blocks"), parts(F.count("*")).alias("_slices"))
-    spread = rows.join(counts.filter("_blocks > 0"), group)
 
     def number(n):
         return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
