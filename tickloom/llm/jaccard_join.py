@@ -292,6 +292,8 @@ def _sender(buckets: int, frequent: np.ndarray):
                     held, rows = [], 0
         if rows:
             yield from _pack(*map(np.concatenate, zip(*held)), buckets)
+        held = []
+        release()
 
     return send
 
@@ -320,9 +322,10 @@ def _meet(block: pa.Table, buckets: int) -> pa.Table:
     """Candidate pairs (kind 0) of a bucket, the lists of its large groups (kind 1: list id, set id), members of hot
     signatures (kind 2: list id, set id, role)."""
     hot_block = block.column("bucket")[0].as_py() >= buckets
-    columns = (block.column(n).to_pylist() for n in ("signatures", "ids", "places"))
-    parts = [_unpack(*p) for p in zip(*columns)]
+    columns = (block.column(n) for n in ("signatures", "ids", "places"))
+    parts = [_unpack(*(x.as_py() for x in row)) for row in zip(*columns)]
     signature, set_id = (np.concatenate(x) for x in zip(*parts))
+    del parts
     order = np.argsort(signature, kind="stable")
     signature, set_id = signature[order], set_id[order]
     key = signature >> _U(ROLE_BITS)
@@ -369,7 +372,6 @@ def _meet(block: pa.Table, buckets: int) -> pa.Table:
     many = ~few
     listed, first = np.unique(lists[group[many]], return_index=True)
     chosen = np.isin(group, group[many][first])
-    release()
     return pa.concat_tables([
         _batch(0, a[new], b[new]),
         _batch(1, lists[group[chosen]].view(np.int64), set_id[chosen]),
@@ -379,7 +381,9 @@ def _meet(block: pa.Table, buckets: int) -> pa.Table:
 
 def _meeter(buckets: int):
     def meet(block: pa.Table) -> pa.Table:
-        return _meet(block, buckets)
+        found = _meet(block, buckets)
+        release()
+        return found
 
     return meet
 
