@@ -142,9 +142,10 @@ def served(method: str, **request) -> Query:
     def query(spark, sf_dir):
         ticks = event_ticks(spark, sf_dir) if intraday else lineitem_ticks(spark, sf_dir)
         order = ("event_id",) if intraday else LINEITEM_ORDER
-        daily = bars_from_ticks(ticks, "day", tie_break=order)
+        # Written once: the events and the newest date both come from it.
+        daily = written_once(bars_from_ticks(ticks, "day", tie_break=order), "daily")
         events = intraday_events(daily) if intraday else lineitem_events(daily)
-        series = series_from_ticks(ticks, spec, as_of=last_date(ticks), events=events, tie_break=order)
+        series = series_from_ticks(ticks, spec, as_of=last_date(daily), events=events, tie_break=order)
         rounded = [n for n in series.columns if n in ("open", "high", "low", "close", "adj_close")]
         return series.withColumns({name: F.round(name, 4) for name in rounded})
 
@@ -199,7 +200,8 @@ def method_bars(spark, sf_dir, method: str) -> tuple[DataFrame, tuple[str, ...]]
 
 
 def with_header_lines(lines: DataFrame, header: Column, keys: Sequence[str]) -> DataFrame:
-    """Add one header line to every response."""
+    """Add one header line to every response; the lines are written once, as both sides read them."""
+    lines = written_once(lines, "lines")
     heads = lines.select(*keys, "response_id").distinct().withColumn("line", header)
     return lines.unionByName(heads)
 
@@ -258,6 +260,7 @@ def positioned_lines(spark, sf_dir) -> DataFrame:
     lines = daily.select(
         "symbol", F.date_format("ts", "yyyy-MM").alias("response_id"),
         csv_line("TIME_SERIES_DAILY").alias("line"), F.dayofmonth("ts").alias("position"))
+    lines = written_once(lines, "lines")
     return lines.unionByName(extra_lines(lines, F.lit(csv_header("TIME_SERIES_DAILY")), 0))
 
 
