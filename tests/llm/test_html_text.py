@@ -222,3 +222,44 @@ def test_matching_against_the_textbook():
             assert a[number].label == match.label
             if a[number].parent is not None:
                 assert pairs[a[number].parent.number] is at[id(match)]
+
+
+def test_long_child_lists_match_as_short_ones_do():
+    """The greatest weight by the plain recursion, for child lists shorter and longer than any block of rows."""
+    rng = random.Random(5)
+
+    def tree(depth):
+        inner = "".join(tree(depth - 1) for _ in range(rng.randrange(3))) if depth else ""
+        return f"<div class={rng.choice('abc')}>{inner}</div>"
+
+    def weight(a, b, known):
+        if a.label != b.label:
+            return 0
+        if (a.shape, b.shape) not in known:
+            above = [0] * (len(b.children) + 1)
+            for x in a.children:
+                row = [0]
+                for j, y in enumerate(b.children, 1):
+                    row.append(max(above[j - 1] + weight(x, y, known), above[j], row[-1]))
+                above = row
+            known[a.shape, b.shape] = 1 + above[-1]
+        return known[a.shape, b.shape]
+
+    for n, m in ((20, 200), (200, 20), (63, 64), (65, 66), (150, 130), (300, 280)):
+        shapes, pairs = {}, {}
+        a, b = (fold(parse("".join(tree(2) for _ in range(k))), shapes) for k in (n, m))
+        align(a[0], b[0], pairs, {})
+        assert len(pairs) == weight(a[0], b[0], {}), (n, m)
+        matches = [pairs[c.number].number for c in a[0].children if c.number in pairs]
+        assert matches == sorted(matches)
+
+
+def test_a_long_list_of_parts_keeps_its_template_and_text(spark):
+    """Varying parts between constant ones: what goes and stays does not depend on how many there are."""
+    def page(i, n):
+        parts = "".join(f"<div class=c{(k * 7 + i * k) % 5}><p>Part {k} of {i}.</p></div>" for k in range(n))
+        return f"<body><div class=top><p>Site</p></div>{parts}<div class=end><p>Terms</p></div></body>"
+
+    for n in (20, 120):
+        found = texts(spark, [(i, f"http://h/{i}", page(i, n)) for i in range(8)])
+        assert found == [(i, "\n".join(f"Part {k} of {i}." for k in range(n))) for i in range(8)]

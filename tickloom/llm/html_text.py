@@ -18,8 +18,8 @@ if its structure agrees (mostly links, form controls, an advert without a headin
 or if all its text is the same on the host's pages. An id by itself decides nothing beside the page's heading either.
 
 Trees are walked without recursion. Shapes of subtrees are numbered, equal shapes match as a whole and equal ends of two child
-lists match first, so pages of one layout align in linear time. What is left of two lists is matched exactly if its table is
-small; longer ones are matched as runs of one label, in a band around the diagonal. Nodes that a band leaves unmatched are kept.
+lists match first, so pages of one layout align in linear time. What is left of two lists is matched exactly at any length, row by row
+of a table of which only every so many rows are held; pairs of subtrees are weighed once for each two shapes.
 
 Counts are summed within a batch, then per host and node, so a host may hold most pages. The reference of
 each host travels to its pages by a join that is broadcast only while small.
@@ -36,7 +36,9 @@ from __future__ import annotations
 import json
 import re
 from html import unescape
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -82,9 +84,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTROLS = frozenset("form input button select textarea".split())
 #: Share of a container's text in links that makes it a menu.
 LINK_SHARE = 0.5
-#: Child lists whose table has more cells are matched as runs, in a band of so many cells to each side.
-TABLE_CELLS = 1 << 12
-BAND = 32
+#: Least rows of a table of two child lists that are held together; longer tables hold the root of their rows.
+TABLE_ROWS = 64
+#: Rows of fewer cells are lists, longer ones arrays; their numbers are the same.
+SHORT = 24
 
 _NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 _EDGE = re.compile("[\"'>]")
@@ -451,73 +454,65 @@ def _ends(a: list[Folded], b: list[Folded]) -> tuple[int, int]:
     return first, last
 
 
-def _runs(nodes: list[Folded]) -> list[list[Folded]]:
-    """Neighbours of one label together."""
-    found: list[list[Folded]] = []
-    for n in nodes:
-        if found and found[-1][0].label == n.label:
-            found[-1].append(n)
-        else:
-            found.append([n])
-    return found
-
-
-def _band(n: int, m: int):
-    """Cells near the diagonal of a table, row by row: (row, first column, one past the last)."""
-    for i in range(n):
-        at = i * m // n
-        yield i, max(0, at - BAND), min(m, at + BAND + m // n + 1)
-
-
-def _matched(a: list[Folded], b: list[Folded], weight) -> list[tuple[Folded, Folded]]:
-    """Pairs of two lists, in order, of the greatest weight; long lists as runs of one label, near the diagonal."""
+def _matched(a: list[Folded], b: list[Folded], memo: dict) -> list[tuple[Folded, Folded]]:
+    """Pairs of two lists, in order, of the greatest weight."""
     first, last = _ends(a, b)
     pairs = list(zip(a[:first], b[:first])) + list(zip(a[len(a) - last:], b[len(b) - last:]))
-    a, b = a[first:len(a) - last], b[first:len(b) - last]
+    return pairs + _best(a[first:len(a) - last], b[first:len(b) - last], memo)
+
+
+def _best(a: list[Folded], b: list[Folded], memo: dict) -> list[tuple[Folded, Folded]]:
+    """``_matched`` without equal ends; of equal weights the pairs that stand first."""
     if not a or not b:
-        return pairs
-    if len(a) * len(b) > TABLE_CELLS:
-        left, right = _runs(a), _runs(b)
-        start = next((i for i, (x, y) in enumerate(zip(left, right)) if x[0].label != y[0].label), min(len(left), len(right)))
-        for x, y in zip(left[:start], right[:start]):
-            pairs += zip(x, y)
-        left, right = left[start:], right[start:]
-        gain = lambda x, y: min(len(x), len(y)) * (x[0].label == y[0].label)
-        for x, y in _best(left, right, gain, len(left) * len(right) > TABLE_CELLS):
-            pairs += zip(x, y)
-        return pairs
-    return pairs + _best(a, b, weight, False)
-
-
-def _best(a: list, b: list, gain, banded: bool) -> list[tuple]:
-    n, m = len(a), len(b)
-    if not n or not m:
         return []
-    best: list[dict[int, int]] = [{}]
-    rows = _band(n, m) if banded else ((i, 0, m) for i in range(n))
-    spans = []
-    for i, low, high in rows:
-        above, row, left = best[-1], {}, 0
-        for j in range(low, high):
-            left = max(above.get(j - 1, 0) + gain(a[i], b[j]), above.get(j, 0), left)
-            row[j] = left
-        best.append(row)
-        spans.append((low, high))
-    found = []
-    i, j = n, m - 1
-    while i > 0 and j >= 0:
-        low, high = spans[i - 1]
-        if j >= high:
-            j -= 1
-        elif j < low:
-            i -= 1
-        elif best[i][j] == best[i - 1].get(j, 0):
-            i -= 1
-        elif j > low and best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            found.append((a[i - 1], b[j]))
-            i, j = i - 1, j - 1
+    if len(a) == 1 or len(b) == 1:
+        pair = max(((u, v) for u in a for v in b), key=lambda p: _weight(*p, memo))
+        return [pair] if _weight(*pair, memo) else []
+    n, shapes = len(a), {v.shape: v for v in b}
+    number = {shape: k for k, shape in enumerate(shapes)}
+    place = [number[v.shape] for v in b]
+    gains = {u.shape: [_weight(u, v, memo) for v in shapes.values()] for u in {u.shape: u for u in a}.values()}
+    if len(b) >= SHORT:
+        place = np.array(place)
+        gains = {shape: np.array(found, np.int32) for shape, found in gains.items()}
+
+    def fill(above, low: int, high: int):
+        """Rows of the table from the one above them; the same numbers in lists if they are short, in arrays else."""
+        if len(b) < SHORT:
+            rows = [above]
+            for u in a[low:high]:
+                gain, before, row, left = gains[u.shape], rows[-1], [0], 0
+                for k, at in enumerate(place):
+                    left = max(before[k] + gain[at], before[k + 1], left)
+                    row.append(left)
+                rows.append(row)
+            return rows
+        rows = np.zeros((high - low + 1, len(b) + 1), np.int32)
+        rows[0] = above
+        for k in range(high - low):
+            row = rows[k + 1]
+            np.add(rows[k, :-1], gains[a[low + k].shape].take(place), out=row[1:])
+            np.maximum(row, rows[k], out=row)
+            np.maximum.accumulate(row, out=row)
+        return rows
+
+    step = max(TABLE_ROWS, isqrt(n))
+    tops = [[0] * (len(b) + 1)]
+    for low in range(0, n - step, step):
+        tops.append(fill(tops[-1], low, low + step)[-1][:])
+    found, j = [], len(b)
+    for k in reversed(range(len(tops))):
+        low, i = k * step, min(n, (k + 1) * step)
+        rows = fill(tops[k], low, i)
+        while i > low and j > 0:
+            here = rows[i - low][j]
+            if here == rows[i - low - 1][j]:
+                i -= 1
+            elif here == rows[i - low][j - 1]:
+                j -= 1
+            else:
+                found.append((a[i - 1], b[j - 1]))
+                i, j = i - 1, j - 1
     return found
 
 
@@ -533,7 +528,7 @@ def align(a: Folded, b: Folded, pairs: dict[int, Folded], memo: dict) -> None:
             stack += zip(x.children, y.children)
         else:
             _weigh(x, y, memo)
-            stack += [p for p in _matched(x.children, y.children, lambda u, v: _weight(u, v, memo)) if p[0].label == p[1].label]
+            stack += _matched(x.children, y.children, memo)
 
 
 def _weight(a: Folded, b: Folded, memo: dict) -> int:
@@ -559,19 +554,13 @@ def _weigh(a: Folded, b: Folded, memo: dict) -> None:
             stack.append((x, y, True))
             first, last = _ends(x.children, y.children)
             left, right = x.children[first:len(x.children) - last], y.children[first:len(y.children) - last]
-            if len(left) * len(right) <= TABLE_CELLS:
-                below = ((u, v) for u in left for v in right)
-            else:
-                below = _matched(left, right, None)
-            met = set()
-            for u, v in below:
-                if u.label == v.label and u.shape != v.shape and u.children and v.children and (u.shape, v.shape) not in met:
-                    met.add((u.shape, v.shape))
-                    if (u.shape, v.shape) not in memo:
-                        stack.append((u, v, False))
+            by_label: dict[str, list[Folded]] = {}
+            for v in {v.shape: v for v in right if v.children}.values():
+                by_label.setdefault(v.label, []).append(v)
+            for u in {u.shape: u for u in left if u.children}.values():
+                stack += [(u, v, False) for v in by_label.get(u.label, ()) if u.shape != v.shape and (u.shape, v.shape) not in memo]
         else:
-            memo[key] = 1 + sum(
-                _weight(u, v, memo) for u, v in _matched(x.children, y.children, lambda u, v: _weight(u, v, memo)))
+            memo[key] = 1 + sum(_weight(u, v, memo) for u, v in _matched(x.children, y.children, memo))
 
 
 def _texts(folded: list[Folded]) -> list[str]:
