@@ -79,6 +79,7 @@ HAVING = frozenset(("has", "with", "no", "without", "hide", "show"))
 #: Words of adverts and of reader comments that need little more evidence inside an article.
 ADVERT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising".split())
 COMMENTS = frozenset("comments commentlist commentbox disqus respond replies".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTROLS = frozenset("form input button select textarea".split())
@@ -174,7 +175,7 @@ def _give_back(root: Node) -> None:
     """Containers that words made noise are content if they hold most of the page's text.
 
     An advert or a row of comments may be longer than the article, so the page's heading or article has to be inside,
-    or (but for comments) nowhere else.
+    or (but for comments and what is called an advert) nowhere else.
     """
     held: dict[int, int] = {}
     #: Tags below a node, and those not below noise.
@@ -195,7 +196,8 @@ def _give_back(root: Node) -> None:
         if at is not None and at.noise and at.named:
             comments = not at.named.isdisjoint(COMMENT_WORDS)
             inside = heads[id(at)] & ({"h1", "main"} if comments else wanted)
-            if at.tag not in CONTAINERS or not inside and (comments or clear[id(root)]):
+            advert = not at.named.isdisjoint(ADVERTS)
+            if at.tag not in CONTAINERS or not inside and (comments or advert or clear[id(root)]):
                 return
             at.noise, at.named = False, frozenset()
 
