@@ -5,6 +5,7 @@ from conftest import land, plan_of
 from tickloom.operators.bad_lines import parse_lines, parse_responses
 from tickloom.plans.methods import schema_of
 from tickloom.plans.read import read_landing
+from tickloom.sources import shared
 
 DAILY = "TIME_SERIES_DAILY"
 HEADER = "timestamp,open,high,low,close,volume"
@@ -212,3 +213,20 @@ def test_written_tables_can_be_discarded(spark):
     found.discard()
     with pytest.raises(Exception, match="not exist|FileNotFound|No such"):
         found.bars.count()
+
+
+@pytest.mark.parametrize("policy", ["quarantine", "void_response"])
+def test_verdicts_of_many_lines_are_made_in_small_tasks(spark, monkeypatch, policy):
+    """A task groups few lines however many there are, one long response among them; bars and errors are the same."""
+    rows = [("A", f"r{i}", line) for i in range(60) for line in ("timestamp,open,high,low,close,volume", f"2021-01-0{1 + i % 9},1,1,1,1,{i}")]
+    rows += [("A", "long", f"2021-02-01,1,1,1,1,{i}") for i in range(200)] + [("A", "r7", "2021-01-09,1,x,1,1,1"), (None, None, "note")]
+    lines = spark.createDataFrame(rows, "symbol string, response_id string, line string")
+    dealt = []
+    monkeypatch.setattr(type(lines), "repartition", lambda self, n, *c, f=type(lines).repartition: dealt.append((n, c)) or f(self, n, *c))
+    found = []
+    for most in (1 << 20, 32):
+        monkeypatch.setattr(shared, "TASK_ROWS", most)
+        parsed = parse_lines(lines, "TIME_SERIES_DAILY", zone="UTC", keys=("symbol",), on_bad_line=policy)
+        found.append([sorted(map(str, df.collect())) for df in (parsed.bars, parsed.errors)])
+    assert found[0] == found[1] and len(found[0][0]) == (59 if policy == "void_response" else 60)
+    assert dealt == [(11, ("symbol", "response_id", "line"))]

@@ -25,7 +25,7 @@ from tickloom.plans.read import read_forex, read_landing, read_pairs, read_reque
 from tickloom.plans.series import as_bars, as_series, csv_columns, csv_header, csv_line
 from tickloom.plans.store import BarStore
 from tickloom.sources.requests import Files, fetch, request_table
-from tickloom.sources.shared import new_path, written_once
+from tickloom.sources.shared import in_small_tasks, new_path, written_once
 
 ZONE = "UTC"
 NEW_YORK = "America/New_York"
@@ -202,7 +202,8 @@ def method_bars(spark, sf_dir, method: str) -> tuple[DataFrame, tuple[str, ...]]
 def with_header_lines(lines: DataFrame, header: Column, keys: Sequence[str]) -> DataFrame:
     """Add one header line to every response; the lines are written once, as both sides read them."""
     lines = written_once(lines, "lines")
-    heads = lines.select(*keys, "response_id").distinct().withColumn("line", header)
+    responses = in_small_tasks(lines, lines.count(), *keys, "response_id", "line")
+    heads = responses.select(*keys, "response_id").distinct().withColumn("line", header)
     return lines.unionByName(heads)
 
 

@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a task that groups them when nearly every row may be a group of its own.
+TASK_ROWS = 1 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -65,6 +69,15 @@ def discard(spark: SparkSession, path: str | None = None) -> None:
     files.delete(target, True)
 
 
+def in_small_tasks(df: DataFrame, n_rows: int, *columns: str) -> DataFrame:
+    """``df`` dealt by the hash of ``columns`` to tasks of about ``TASK_ROWS`` rows, as it is if one task holds them.
+
+    A scan's task may read any number of rows, and an aggregate that meets a new group in most of them holds them all.
+    """
+    parts = -(-n_rows // TASK_ROWS)
+    return df.repartition(parts, *columns) if parts > 1 else df
+
+
 def written_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back."""
     path = new_path(df.sparkSession, name)
