@@ -1,12 +1,15 @@
 import hashlib
+import sys
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from conftest import SMALL
 from llm_fixtures import documents  # noqa: F401
-from tickloom.llm import bpe
+from tickloom.llm import bpe, jaccard_join, quality
 from tickloom.llm.queries import TOKENIZER, build_queries
 
 OURS, LIBRARY = bpe.ByteBPE(TOKENIZER), Tokenizer.from_file(TOKENIZER)
@@ -66,3 +69,16 @@ def test_round_trip_and_odd_rows(spark, documents):
     digests = {r.doc_id: r for r in bpe.token_digests(documents(*rows), TOKENIZER).collect()}
     assert digests[1].n_tokens == 0 and digests[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
     assert bpe.token_digests(documents(), TOKENIZER).count() == 0
+
+
+def test_other_operators_drop_the_tokenizer_of_an_earlier_stage():
+    """Worker processes are used again; what bpe keeps from task to task would stand beside the next stage's arrays."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array(["a b c d e f"]), pa.array([7])], ["doc_id", "text", "digest"])
+    for run in (lambda: list(jaccard_join._describe([batch])), lambda: list(jaccard_join._sender(4, np.zeros(0, np.int64))([batch.select([1])])),
+                lambda: list(quality._term_lists([]))):
+        bpe.tokenizer(TOKENIZER)
+        assert "_tickloom_tokenizers" in sys.modules
+        run()
+        assert "_tickloom_tokenizers" not in sys.modules
+    assert bpe.tokenizer(TOKENIZER).encode("a b") == OURS.encode("a b")

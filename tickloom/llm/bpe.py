@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.shingles import release
+from tickloom.llm.shingles import TOKENIZERS, release
 
 #: Words kept in a process's table, an entry of some 350 bytes each. A word is kept when it is new a second time, as far
 #: as a table of marks tells.
@@ -250,9 +250,10 @@ class ByteBPE:
 def tokenizer(path: str) -> ByteBPE:
     """The tokenizer of a file, kept as long as the process lives.
 
-    Functions shipped by value have no module that outlasts a task, so the table is kept in one of its own.
+    Functions shipped by value have no module that outlasts a task, so the table is kept in one of its own. Operators that
+    need the memory drop it (``make_room``).
     """
-    loaded = sys.modules.setdefault("_tickloom_tokenizers", ModuleType("_tickloom_tokenizers")).__dict__
+    loaded = sys.modules.setdefault(TOKENIZERS, ModuleType(TOKENIZERS)).__dict__
     if path not in loaded:
         loaded[path] = ByteBPE(path)
     return loaded[path]

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.shingles import mix, release, token_sets
+from tickloom.llm.shingles import make_room, mix, release, token_sets
 from tickloom.llm.vectors import dealt, parts
 from tickloom.sources.shared import written_once
 
@@ -214,6 +214,7 @@ def _parities(sets) -> pa.Array:
 
 def _describe(batches):
     """Per document its size and set id; per window of different sets its frequent tokens, as kind 1."""
+    make_room()
     fresh, held, n_held = _Fresh(), [], 0
     for batch in batches:
         ids, digests = batch.column(0), batch.column(2)
@@ -275,6 +276,7 @@ def _unpack(signatures: bytes, ids: bytes, places: bytes) -> tuple[np.ndarray, n
 
 def _sender(buckets: int, frequent: np.ndarray):
     def send(batches):
+        make_room()
         hot = np.zeros(_HOT_SLOTS, bool)
         hot[frequent & (_HOT_SLOTS - 1)] = True
         fresh, held, rows = _Fresh(), [], 0
@@ -381,6 +383,7 @@ def _meet(block: pa.Table, buckets: int) -> pa.Table:
 
 def _meeter(buckets: int):
     def meet(block: pa.Table) -> pa.Table:
+        make_room()
         found = _meet(block, buckets)
         release()
         return found
@@ -389,6 +392,7 @@ def _meeter(buckets: int):
 
 
 def _sets(batches):
+    make_room()
     for batch in batches:
         wanted = batch.column(0).to_numpy(zero_copy_only=False)
         for sets in token_sets(batch.column(1)):
@@ -470,6 +474,7 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 def _cross(table: pa.Table) -> pa.Table:
     """Pairs of a block and a slice in different components that sizes and bitmaps do not rule out."""
+    make_room()
     asks = table.column("_asks").to_numpy()
     ids, root, size = (table.column(n).to_numpy() for n in ("id", "root", "size"))
     bits = np.concatenate([c.flatten().to_numpy() for c in table.column("bits").chunks]).reshape(len(ids), -1)

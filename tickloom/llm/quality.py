@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm import shingles
-from tickloom.llm.shingles import WIDTH, _words, chunks, release, text_buffers, tokens
+from tickloom.llm.shingles import WIDTH, _words, chunks, make_room, release, text_buffers, tokens
 
 SAMPLE = 4096
 RANK = 48
@@ -186,6 +186,7 @@ def score_block(model: Model, rows: np.ndarray) -> np.ndarray:
 
 
 def _term_lists(batches):
+    make_room()
     for batch in batches:
         offsets, data = text_buffers(batch.column(1))
         for first, last in chunks(offsets):
@@ -220,6 +221,7 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
 
 def _scorer(shared):
     def score(batches):
+        make_room()
         model = Model(*shared.value)
         for batch in batches:
             offsets, data = text_buffers(batch.column(1))

@@ -10,6 +10,7 @@ at white space, and a word longer than a piece is summed up in parts.
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,6 +159,16 @@ class TokenSets:
             self.set_id = mix(digest ^ mix(self.size.astype(_U))).view(np.int64)
 
 
+#: Module in which a worker process keeps its tokenizers from task to task.
+TOKENIZERS = "_tickloom_tokenizers"
+
+
+def make_room() -> None:
+    """Drop the tokenizers that tasks of an earlier stage left in this worker process."""
+    if sys.modules.pop(TOKENIZERS, None) is not None:
+        release()
+
+
 def release() -> None:
     """Hand the memory of freed arrays back to the system, as worker processes outlive their tasks."""
     pa.default_memory_pool().release_unused()
