@@ -10,6 +10,7 @@ at white space, and a word longer than a piece is summed up in parts.
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -166,6 +167,7 @@ TOKENIZERS = "_tickloom_tokenizers"
 def make_room() -> None:
     """Drop the tokenizers that tasks of an earlier stage left in this worker process."""
     if sys.modules.pop(TOKENIZERS, None) is not None:
+        gc.collect()
         release()
 
 
