@@ -1,5 +1,7 @@
 from fractions import Fraction
 
+import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import documents  # noqa: F401
@@ -88,3 +90,24 @@ def test_whole_cuts(spark, documents):
         assert len(r.times) == (r.whole + (r.part > 0) if r.size else 0) and r.times == old.times[:len(r.times)]
         assert r.taken == r.whole * r.size + r.part <= 3 * r.size
     assert any(0 < r.part < r.size for r in after.values()) == any(r.size > r.target for r in cut.values())
+
+
+@pytest.mark.parametrize("total", [2**31 // 3 - 1, 2**31 // 3 + 1, 1_400_000_000, 2**31 - 1, 2**31, 2**63 // 3 - 1, 2**63 // 3 + 1, 9 * 10**18])
+def test_targets_of_many_words(spark, total):
+    sizes = {"a": total // 2, "b": total // 20, "c": total // 4}
+    sizes["d"] = total - sum(sizes.values())
+    found = {r.source: r for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")).collect()}
+    assert sum(r.source_size for r in found.values()) == total
+    for source, target in zip(sizes, plain_targets(list(sizes.values()))):
+        assert found[source].target == pytest.approx(float(target), rel=1e-15)
+
+
+def test_pipeline_stage_of_many_words(spark, documents, monkeypatch):
+    """Each word counts as a hundred million: 1.2 billion in all, of which the sources get 1, 2 and 3 sixths."""
+    plain = mixing.words
+    monkeypatch.setattr(mixing, "words", lambda text: plain(text) * 10**8)
+    rows = [(10 * i + j, "w", s) for i, s in enumerate("abc") for j in range(4)]
+    found = corpus_pipeline.mix_sources(spark, documents(*rows), "").collect()
+    passes = {s: sorted(r.doc_id for r in found if r.source == s) for s in "abc"}
+    assert [len(passes[s]) for s in "abc"] == [2, 4, 6] and all(r.text == "w" for r in found)
+    assert passes["b"] == [10, 11, 12, 13] and set(passes["c"]) == {20, 21, 22, 23}

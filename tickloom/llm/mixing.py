@@ -85,7 +85,9 @@ def targets(sizes: DataFrame) -> DataFrame:
         if now == (rest, weights):
             break
         rest, weights = now
-    shared = F.lit(int(rest) if rest < 2**63 else float(rest)) * F.col("weight") / F.lit(int(weights))
+    # A literal under 2^31 would be an int, and its product with the weight too.
+    left = F.lit(int(rest)).cast("bigint") if rest * max(WEIGHTS) < 2**63 else F.lit(float(rest))
+    shared = left * F.col("weight") / F.lit(int(weights))
     return sources.withColumn(
         "target", F.when(capped, F.col("source_size") * MOST).otherwise(shared).cast("double"))
 
