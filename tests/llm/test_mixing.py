@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import documents  # noqa: F401
-from tickloom.llm import mixing
+from tickloom.llm import mixing, queries
 
 
 def plain_targets(sizes):
@@ -111,3 +111,16 @@ def test_pipeline_stage_of_many_words(spark, documents, monkeypatch):
     passes = {s: sorted(r.doc_id for r in found if r.source == s) for s in "abc"}
     assert [len(passes[s]) for s in "abc"] == [2, 4, 6] and all(r.text == "w" for r in found)
     assert passes["b"] == [10, 11, 12, 13] and set(passes["c"]) == {20, 21, 22, 23}
+
+
+def test_op4_of_many_words(spark, documents, monkeypatch, tmp_path):
+    """1.2 billion words, counted as in the test above; a third of the last source's passes come again."""
+    plain = mixing.words
+    monkeypatch.setattr(mixing, "words", lambda text: plain(text) * 10**8)
+    documents(*[(10 * i + j, "w", s) for i, s in enumerate("abc") for j in range(4)]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op4_mixing(spark, str(tmp_path)).collect()
+    taken = {i: sorted(r.taken // 10**8 for r in found if r.doc_id // 10 == i) for i in range(3)}
+    assert taken == {0: [0, 0, 1, 1], 1: [1, 1, 1, 1], 2: [1, 1, 2, 2]}
+    assert {r.doc_id // 10: r.target for r in found} == {0: 2e8, 1: 4e8, 2: 6e8}
+    times = [r.first_time for r in found]
+    assert times[-2:] == [None, None] and times[:-2] == sorted(times[:-2])
